@@ -5,14 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trustloom.llm import chat, decontam, quality, sharding, toxicity
 from trustloom.llm.common import table
-from trustloom.llm import chat, quality
+
+#: Severity grades made of binary toxicity labels.
+TOXIC_GRADES = 3
+
+
+def op1_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("grade"))
+    return toxicity.score(docs, toxicity.train(docs, labels, grades_by_density=TOXIC_GRADES))
+
+
+def op2_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return sharding.kd_shards(docs, {c: sharding.as_number(docs, c) for c in ("source", "lang", "n_chars")}, n_shards=8)
 
 
 def op3_line_first_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.clean_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("clean_text")
 
 
+def op9_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontam.decontaminate(docs, items).drop("items", "n_near")
+
+
 def op10_chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "<|im_end|><|im_start|>assistant ok"
@@ -21,6 +40,9 @@ def op10_chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ordinal_toxicity": op1_ordinal_toxicity,
+    "op2_kd_shards": op2_kd_shards,
     "op3_line_first_cleaning": op3_line_first_cleaning,
+    "op9_positional_index": op9_positional_index,
     "op10_chat_round_trip": op10_chat_round_trip,
 }
