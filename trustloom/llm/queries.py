@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trustloom.llm import chat, decontam, quality, sharding, toxicity
+from trustloom.llm import chat, decontam, neardup, quality, sharding, substring_dedup, toxicity
 from trustloom.llm.common import table
 
 #: Severity grades made of binary toxicity labels.
@@ -27,6 +27,14 @@ def op3_line_first_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.clean_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("clean_text")
 
 
+def op6_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), with_text=False).drop("kept_text")
+
+
+def op7_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontam.decontaminate(docs, items).drop("items", "n_near")
@@ -43,6 +51,8 @@ QUERIES = {
     "op1_ordinal_toxicity": op1_ordinal_toxicity,
     "op2_kd_shards": op2_kd_shards,
     "op3_line_first_cleaning": op3_line_first_cleaning,
+    "op6_super_kmers": op6_super_kmers,
+    "op7_odd_sketches": op7_odd_sketches,
     "op9_positional_index": op9_positional_index,
     "op10_chat_round_trip": op10_chat_round_trip,
 }

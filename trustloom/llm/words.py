@@ -88,7 +88,7 @@ class Chunk:
         """Hash of words a to b (exclusive), with ``b - a`` mixed in."""
         up, down = _words_pow.upto(len(self.hash) + 1)
         h = (self.hash[a:b] * up[: b - a]).sum(dtype=U)
-        return int(mix(np.array([h * U(2 * seed + 1) + U(b - a) + U(seed)], dtype=U))[0])
+        return int(mix(np.array([h], dtype=U) * U(2 * seed + 1) + U(b - a + seed))[0])
 
 
 def chunks(texts: pa.Array, lower: bool = False, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
