@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trustloom.llm import chat, decontam, neardup, quality, sharding, substring_dedup, toxicity
+from trustloom.llm import chat, decontam, html_main, mixing, neardup, quality, sharding, substring_dedup, toxicity, warc
 from trustloom.llm.common import table
 
 #: Severity grades made of binary toxicity labels.
@@ -27,6 +27,18 @@ def op3_line_first_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.clean_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("clean_text")
 
 
+def op4_raked_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    mixed = mixing.mix(docs, mixing.topic_of(F.col("text")))
+    return mixed.select(
+        "doc_id", "source", "lang", F.col("_topic").alias("topic"), F.col("_n_tokens").alias("n_tokens"), F.round("_probability", 6).alias("probability"), F.col("_sampled").alias("sampled")
+    )
+
+
+def op5_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derivatives(warc.responses_of_pages(table(spark, sf_dir, "pages")), key="page_id")
+
+
 def op6_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), with_text=False).drop("kept_text")
 
@@ -35,6 +47,10 @@ def op7_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.extract_main(table(spark, sf_dir, "pages"))
+
+
 def op9_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontam.decontaminate(docs, items).drop("items", "n_near")
@@ -51,8 +67,13 @@ QUERIES = {
     "op1_ordinal_toxicity": op1_ordinal_toxicity,
     "op2_kd_shards": op2_kd_shards,
     "op3_line_first_cleaning": op3_line_first_cleaning,
+    "op4_raked_mixture": op4_raked_mixture,
+    "op5_warc_derivatives": op5_warc_derivatives,
     "op6_super_kmers": op6_super_kmers,
     "op7_odd_sketches": op7_odd_sketches,
+    "op8_site_templates": op8_site_templates,
     "op9_positional_index": op9_positional_index,
     "op10_chat_round_trip": op10_chat_round_trip,
 }
+
+ORACLE: dict[str, str] = {}
