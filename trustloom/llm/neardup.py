@@ -4,22 +4,23 @@
 2. A class has ``BANDS * ROWS`` MinHash samples of its word shingles. They make band keys, and are folded
    into an odd sketch: a bitmap in which each sample flips one bit, so that the XOR of two sketches
    counts the samples in which they differ, and its population count estimates a high similarity.
-3. Classes that share a band key are candidates. In round 0 each is compared with the smallest class
-   of its bucket. Verified links are contracted. In later rounds a bucket whose members still lie in
-   several components has each member compared with members of other components, nearest sketches
-   first, ranks 0-7, 8-63, 64-511, ... until nobody is left: a bucket of alike texts closes after a
-   few comparisons a member, and no rank is left out. Pairs whose sketches are further apart than
-   any pair at the threshold could be by chance of ``MARGIN`` deviations are not compared.
-4. Every link is confirmed on the full shingle sets. Components come from alternating large and small
-   stars, as joins and aggregations over the links.
-
-A bucket with more than ``CROWD`` members in several components is split before its members are
-compared: each member takes ``SPLITS`` keys of ``SPLIT_ROWS`` further samples, and meets those with
-which it shares one.
+3. Classes that share a band key are candidates. First each is compared with the smallest class of its
+   bucket, and verified links are contracted to components. That closes most buckets, however large.
+4. In the buckets whose members still lie in several components, sketches are compared inside the
+   bucket's task (never emitted as pairs): a member stays if the sketch of some member of another
+   component is as near as two sets at the threshold may be by chance of ``MARGIN`` deviations. The
+   members that stay meet again with their full sets, exact intersections come from one matrix
+   product, and only links that join two components are emitted, fewer than the bucket has members.
+5. Components come from alternating large and small stars, as joins and aggregations over the links.
+
+A bucket with more than ``CROWD`` members in several components is split first: each member takes
+``SPLITS`` keys of ``SPLIT_ROWS`` further samples, and meets those with which it shares one. All links are
+judged on full sets, in the star step by reading both texts.
 
 Defined cases: a null or empty text has the empty set, is in a component of its own and is kept; fewer
 words than a shingle are one shingle; repeated rows and equal texts are one class, of which the
-smallest doc_id is kept (rows repeated with that id are all marked kept); a null doc_id is larger than
+smallest doc_id is kept (rows repeated with that id are all marked kept); of rows with one id and
+several texts, each has its own set size, and the smallest text is the one compared; a null doc_id is larger than
 every other and a null component is given back for it. Shingles are told apart by 64-bit hashes.
 """
 
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from trustloom.llm.common import checked, discard, materialize
+from trustloom.llm.common import checked, discard, materialize, partitions_for, written_bytes
 from trustloom.llm.words import U, chunks, mix, signed
 
 SHINGLE = 5
@@ -41,7 +42,6 @@ SKETCH_BITS = 512
 MARGIN = 6.0
 CROWD = 2000
 SPLITS, SPLIT_ROWS = 48, 10
-FIRST_RANKS = 8
 NO_ID = (1 << 63) - 1
 
 _SEEDS = mix(np.arange(1, 2048, dtype=np.uint64) * U(0x9E3779B97F4A7C15))
@@ -196,14 +196,24 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(run, "a bigint, b bigint, ok boolean").where("ok").select("a", "b")
 
 
-def components(links: DataFrame) -> DataFrame:
+def _parts(spark, path: str) -> int | None:
+    """A partition for each 16 MB of a written table; None where that is no fewer than Spark's own number."""
+    n = max(4, written_bytes(spark, path) // (16 << 20))
+    return int(n) if n < partitions_for(spark) else None
+
+
+def components(links: DataFrame, few: int | None = None) -> DataFrame:
     """(id, comp) of every id in ``links`` (a, b): comp is the smallest id connected with it.
 
     Alternating large and small stars until the links no longer change. Each star is an aggregation of
     the smallest neighbour and a join with it; hub ids are split by Spark's skew handling.
     """
     spark = links.sparkSession
-    edges, path = materialize(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "links")
+
+    def held(df: DataFrame, n: int | None) -> tuple[DataFrame, str]:
+        return materialize(df.coalesce(n) if n else df, "links")
+
+    edges, path = held(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), few)
     before = None
     while True:
         # large star: every larger neighbour of u goes to u's smallest neighbour (or u)
@@ -214,7 +224,7 @@ def components(links: DataFrame) -> DataFrame:
         small = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(small, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         after = moved.unionByName(small.select("u", F.col("m").alias("v"))).distinct()
-        fresh, fresh_path = materialize(after, "links")
+        fresh, fresh_path = held(after, _parts(spark, path))
         discard(spark, path)
         edges, path = fresh, fresh_path
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -225,30 +235,130 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("id"), F.col("v").alias("comp")).unionByName(roots)
 
 
-def _near(members: DataFrame, ranks: tuple[int, int], most_bits: int) -> DataFrame:
-    """Pairs in a bucket and in two components, for ranks (from, to) of the sketches' distance from each member."""
-
-    def run(key, table):
-        table = table.sort_by("id")
-        ids, comp = table["id"].to_numpy(), table["comp"].to_numpy()
-        sk = np.frombuffer(b"".join(table["sketch"].to_pylist()), dtype=np.uint64).reshape(len(ids), -1)
-        a, b = [], []
-        lo, hi = ranks
-        if lo < len(ids):
-            for i in range(len(ids)):
-                dist = np.bitwise_count(sk ^ sk[i]).sum(axis=1, dtype=np.int64)
-                dist[i] = 1 << 40
-                if hi < len(ids):
-                    near = np.argpartition(dist * len(ids) + np.arange(len(ids)), [max(0, lo - 1), hi - 1])[lo:hi]
-                else:
-                    near = np.argsort(dist, kind="stable")[lo:]
-                near = near[(dist[near] <= most_bits) & (comp[near] != comp[i])]
-                a.append(np.maximum(ids[near], ids[i]))
-                b.append(np.minimum(ids[near], ids[i]))
-        flat = lambda x: np.concatenate(x) if x else np.zeros(0, dtype=np.int64)
-        return pa.table({"a": pa.array(flat(a), pa.int64()), "b": pa.array(flat(b), pa.int64())})
-
-    return members.groupBy("bucket").applyInArrow(run, "a bigint, b bigint").distinct()
+def _buckets(batches):
+    """The record batches of a partition sorted by its first column, as one batch a key."""
+    held = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(0).to_numpy()
+        cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            part = batch.slice(a, b - a)
+            if held and held[-1].column(0)[0] != part.column(0)[0]:
+                yield _joined(held)
+                held = []
+            held.append(part)
+    if held:
+        yield _joined(held)
+
+
+def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+
+
+def _open_members(members: DataFrame, most_bits: int) -> DataFrame:
+    """(bucket, id, comp) of the members to whose sketch one of another component is near enough."""
+
+    def run(batches):
+        out: list[pa.RecordBatch] = []
+        rows = 0
+        for group in _buckets(batches):
+            comp, cells = group.column(2).to_numpy(), group.column(3)
+            sk = np.frombuffer(b"".join(cells.to_pylist()), dtype=np.uint64).reshape(len(comp), -1)
+            near = np.zeros(len(comp), dtype=bool)
+            for i in range(len(comp)):
+                if not near[i]:
+                    hit = (np.bitwise_count(sk ^ sk[i]).sum(axis=1, dtype=np.int64) <= most_bits) & (comp != comp[i])
+                    if hit.any():
+                        near |= hit
+                        near[i] = True
+            if near.any():
+                out.append(group.select([0, 1, 2]).filter(pa.array(near)))
+                rows += out[-1].num_rows
+            if rows > 5000:
+                yield from pa.Table.from_batches(out).to_batches()
+                out, rows = [], 0
+        if out:
+            yield from pa.Table.from_batches(out).to_batches()
+
+    ordered = members.select("bucket", "id", "comp", "sketch").repartition("bucket").sortWithinPartitions("bucket", "id")
+    return ordered.mapInArrow(run, "bucket bigint, id bigint, comp bigint")
+
+
+def shingle_table(texts: DataFrame) -> DataFrame:
+    """(id, shingles): the sorted 64-bit shingle hashes of each text, packed."""
+
+    def run(batches):
+        for batch in batches:
+            for c in chunks(batch.column(1), lower=True):
+                grams, starts = shingle_sets(c)
+                cells = [grams[starts[i] : starts[i + 1]].tobytes() for i in range(c.n_texts)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(c.first, c.n_texts), pa.array(cells, pa.binary())], ["id", "shingles"])
+
+    return texts.select("id", "text").mapInArrow(run, "id bigint, shingles binary")
+
+
+def meets(sets: list[np.ndarray], rows: np.ndarray, width: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of the sets at ``rows`` with all sets: products of 0/1 matrices, by columns."""
+    sizes = [len(x) for x in sets]
+    _, cols, n = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = n > 1
+    place = np.cumsum(shared) - 1
+    member = np.repeat(np.arange(len(sets)), sizes)
+    keep = shared[cols]
+    member, cols = member[keep], place[cols[keep]]
+    order = np.argsort(cols, kind="stable")
+    member, cols = member[order], cols[order]
+    out = np.zeros((len(rows), len(sets)), dtype=np.float32)
+    total = int(shared.sum())
+    for at in range(0, total, width):
+        a, b = np.searchsorted(cols, [at, at + width])
+        x = np.zeros((len(sets), min(width, total - at)), dtype=np.float32)
+        x[member[a:b], cols[a:b] - at] = 1
+        out += x[rows] @ x.T
+    return out
+
+
+def spanning_links(ids: np.ndarray, comp: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links at the threshold that join components of a bucket: a spanning forest of them."""
+    sizes = np.array([len(x) for x in sets], dtype=np.int64)
+    names, of, n = np.unique(comp, return_inverse=True, return_counts=True)
+    rows = np.flatnonzero(of != n.argmax())
+    parent = list(range(len(names)))
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    out = []
+    block = max(1, (8 << 20) // len(sets))
+    for at in range(0, len(rows), block):
+        part = rows[at : at + block]
+        inter = meets(sets, part).astype(np.int64)
+        linked = (100 * inter >= percent * (sizes[part][:, None] + sizes[None, :] - inter)) & (of[part][:, None] != of[None, :])
+        for i, j in zip(*np.nonzero(linked), strict=True):
+            x, y = root(of[part[i]]), root(of[j])
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                out.append((max(int(ids[part[i]]), int(ids[j])), min(int(ids[part[i]]), int(ids[j]))))
+    return out
+
+
+def _links_inside(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of ``spanning_links`` in every bucket."""
+
+    def run(batches):
+        found: list[tuple[int, int]] = []
+        for group in _buckets(batches):
+            ids, comp = group.column(1).to_numpy(), group.column(2).to_numpy()
+            found += spanning_links(ids, comp, [np.frombuffer(x, dtype=U) for x in group.column(3).to_pylist()], percent)
+        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], ["a", "b"])
+
+    full = members.join(sets, "id").select("bucket", "id", "comp", "shingles")
+    return full.repartition("bucket").sortWithinPartitions("bucket", "id").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, crowd: int = CROWD) -> DataFrame:
@@ -278,40 +388,30 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, crowd: int = CROWD)
     pairs = pairs.where(F.col("bits") <= most_bits).select("a", "b").distinct()
     # texts of the classes that share a bucket with another one
     wanted = materialize(members.select("id").distinct(), "wanted")
-    own = classes.select("id").join(checked(wanted), "id", "left_semi")
-    own = materialize(own, "class-ids")
-    texts, texts_path = materialize(docs.select("id", "text").join(checked(own), "id", "left_semi").dropDuplicates(["id"]), "texts")
+    texts, texts_path = materialize(docs.select("id", "text").join(checked(wanted), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")), "texts")
     links, links_path = materialize(confirm(pairs, texts, percent), "confirmed")
-    comps, comps_path = materialize(components(links), "components")
-
-    lo, hi = 0, FIRST_RANKS
-    base = members.select("bucket", "id", "sketch", "n")
-    while True:
-        with_comp = base.join(comps, "id", "left").select("bucket", "id", "sketch", "n", F.coalesce("comp", "id").alias("comp"))
-        open_buckets = with_comp.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("bucket")
-        active, active_path = materialize(with_comp.join(open_buckets, "bucket", "left_semi"), "open")
-        small = active.where(F.col("n") <= crowd).select("bucket", "id", "sketch", "comp")
-        big = active.where(F.col("n") > crowd)
-        if not big.isEmpty():
-            ids = big.select("id").distinct()
-            keys = _crowd_keys(texts.join(ids, "id", "left_semi")).select("id", F.posexplode("keys").alias("split", "key"))
-            parts = big.join(keys, "id").select(F.xxhash64("bucket", "split", "key").alias("bucket"), "id", "sketch", "comp")
-            small = small.unionByName(parts)
-        sizes = small.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y")
-        largest = sizes.agg(F.max("m")).first()[0]
-        if largest is None or lo >= largest:
-            discard(spark, active_path)
-            break
-        pairs = _near(small.join(sizes.select("bucket"), "bucket", "left_semi"), (lo, hi), most_bits)
-        more, more_path = materialize(confirm(pairs, texts, percent), "confirmed")
-        discard(spark, active_path)
-        if not more.isEmpty():
-            links, old = materialize(comps.select(F.col("id").alias("a"), F.col("comp").alias("b")).unionByName(more), "confirmed")
-            discard(spark, comps_path)
-            comps, comps_path = materialize(components(links), "components")
-            discard(spark, old)
-        discard(spark, more_path)
-        lo, hi = hi, hi * 8
+    comps, _ = materialize(components(links, _parts(spark, links_path)), "components")
+
+    with_comp = members.join(comps, "id", "left").select("bucket", "id", "sketch", "n", F.coalesce("comp", "id").alias("comp"))
+    several = lambda df: df.join(df.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("bucket"), "bucket", "left_semi")
+    active, active_path = materialize(several(with_comp), "open")
+    inside = active.where(F.col("n") <= crowd).select("bucket", "id", "sketch", "comp")
+    big = active.where(F.col("n") > crowd)
+    if not big.isEmpty():
+        ids = big.select("id").distinct()
+        keys = _crowd_keys(texts.join(ids, "id", "left_semi")).select("id", F.posexplode("keys").alias("split", "key"))
+        own = big.select("id", "sketch", "comp").dropDuplicates(["id"])
+        parts = own.join(keys, "id").select(F.xxhash64("split", "key").alias("bucket"), "id", "sketch", "comp")
+        inside = inside.unionByName(several(parts))
+    left, left_path = materialize(_open_members(inside, most_bits), "near")
+    wanted_sets = shingle_table(texts.join(left.select("id").distinct(), "id", "left_semi"))
+    more, more_path = materialize(_links_inside(left, wanted_sets, percent), "confirmed")
+    if not more.isEmpty():
+        links, old = materialize(comps.select(F.col("id").alias("a"), F.col("comp").alias("b")).unionByName(more), "confirmed")
+        comps, _ = materialize(components(links, _parts(spark, old)), "components")
+        discard(spark, old)
+    for p in (active_path, left_path, more_path):
+        discard(spark, p)
     for p in (members_path, texts_path, links_path):
         discard(spark, p)
 
