@@ -8,11 +8,11 @@ super-k-mer.
 1. One row (minimiser, document, place) a super-k-mer, without its words; a minimiser that only one
    document has cannot belong to a repeat, and ends here. The rest is grouped by document again.
 2. The super-k-mers that are left travel to their minimiser's bucket as one packed string of words.
-   Equal strings are merged, with the smallest document id, before they are shuffled. A minimiser
-   with more than ``hot`` windows sends them one by one, keyed by their words, so that a
-   bucket holds one hot window, and equal ones are merged before the shuffle as well.
+   Equal strings are merged, with the smallest document id, before they are shuffled.
 3. In a bucket the windows of all strings are sorted, which puts equal ones together, and each string
-   gets for each of its windows the smallest id of a document in which it starts.
+   gets for each of its windows the smallest id of a document in which it starts. A bucket with more
+   than ``hot`` windows in different strings is not sorted in one task: its windows go on by 128-bit
+   digests, merged before the shuffle, so that the bucket is spread by its windows.
 4. Places whose window has a smaller document than their own come back to it as word ranges.
 
 Words are compared as bytes; hashes (64-bit grams, 128-bit names of packed strings) only route.
@@ -32,12 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trustloom.llm.common import checked, discard, materialize
+from trustloom.llm.common import discard, materialize
 from trustloom.llm.words import chunks, signed
 
 WINDOW = 50
 SEED_WORDS = 12
-#: Windows of one minimiser that are still sorted in one task.
+#: Windows of different strings of one minimiser that are still sorted in one task.
 HOT = 50_000
 NO_ID = (1 << 63) - 1
 
@@ -92,34 +92,31 @@ def _seeds(docs: DataFrame, window: int, seed_words: int) -> DataFrame:
 
 
 def _pack(docs: DataFrame, window: int) -> DataFrame:
-    """Packed strings of the super-k-mers listed in ``runs`` (hot ones window by window)."""
+    """Packed strings of the super-k-mers listed in ``runs``."""
 
     def run(batches):
         for batch in batches:
             ids, keys, runs = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3)
-            out: list[list] = [[], [], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], [], []]
             for i, text in enumerate(batch.column(2).to_pylist()):
                 words = text.encode().split()
                 for r in runs[i].as_py():
-                    p, n = r["place"], r["n"]
-                    for a, b in [(q, q + 1) for q in range(p, p + n)] if r["hot"] else [(p, p + n)]:
-                        packed = b" ".join(words[a : b + window - 1])
-                        name = hashlib.blake2b(packed, digest_size=16).digest()
-                        bucket = int.from_bytes(name[:8], "little", signed=True) if r["hot"] else r["seed"]
-                        for col, v in zip(out, (bucket, name, packed, ids[i], keys[i], a), strict=True):
-                            col.append(v)
+                    packed = b" ".join(words[r["place"] : r["place"] + r["n"] + window - 1])
+                    name = hashlib.blake2b(packed, digest_size=16).digest()
+                    for col, v in zip(out, (r["seed"], name, packed, ids[i], keys[i], r["place"], r["n"]), strict=True):
+                        col.append(v)
                 if len(out[0]) > 4000:
                     yield _packed_batch(out)
-                    out = [[], [], [], [], [], []]
+                    out = [[], [], [], [], [], [], []]
             if out[0]:
                 yield _packed_batch(out)
 
-    return docs.mapInArrow(run, "bucket bigint, name binary, packed binary, id bigint, key bigint, place int")
+    return docs.mapInArrow(run, "bucket bigint, name binary, packed binary, id bigint, key bigint, place int, n int")
 
 
 def _packed_batch(out: list[list]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int32()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["bucket", "name", "packed", "id", "key", "place"])
+    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["bucket", "name", "packed", "id", "key", "place", "n"])
 
 
 def _count(strings: DataFrame, window: int) -> DataFrame:
@@ -160,27 +157,53 @@ def _count(strings: DataFrame, window: int) -> DataFrame:
     return strings.select("bucket", "name", "packed", "first").mapInArrow(run, "name binary, firsts array<bigint>")
 
 
+def _count_spread(strings: DataFrame, window: int) -> DataFrame:
+    """The same as ``_count`` for hot buckets: windows by digest, spread over all tasks."""
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 200):
+                out: list[list] = [[], [], [], []]
+                for name, packed, first in zip(*(c.to_pylist() for c in batch.slice(at, 200).columns), strict=True):
+                    words = packed.split(b" ")
+                    for j in range(len(words) - window + 1):
+                        for col, v in zip(out, (hashlib.blake2b(b" ".join(words[j : j + window]), digest_size=16).digest(), name, j, first), strict=True):
+                            col.append(v)
+                kinds = [pa.binary(), pa.binary(), pa.int32(), pa.int64()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["w", "name", "j", "first"])
+
+    windows, _ = materialize(strings.select("name", "packed", "first").mapInArrow(run, "w binary, name binary, j int, first bigint"), "windows")
+    least = windows.groupBy("w").agg(F.min("first").alias("least"))
+    each = windows.join(least, "w").groupBy("name").agg(F.sort_array(F.collect_list(F.struct("j", "least"))).alias("x"))
+    return each.select("name", F.col("x.least").alias("firsts"))
+
+
 def remove_repeats(docs: DataFrame, window: int = WINDOW, seed_words: int = SEED_WORDS, hot: int = HOT, with_text: bool = True) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): n_words, n_removed, kept_sha256 and the kept words."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     docs = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     docs = docs.withColumn("id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn("key", F.xxhash64("id", "text"))
     seeds, seeds_path = materialize(_seeds(docs.select("id", "key", "text"), window, seed_words), "seeds")
-    shared = seeds.groupBy("seed").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.sum("n").alias("n"))
-    shared = shared.where(F.col("lo") < F.col("hi")).select("seed", (F.col("n") > hot).alias("hot"))
-    runs = seeds.join(shared, "seed").groupBy("key").agg(F.collect_set(F.struct("place", "n", "seed", "hot")).alias("runs"))
-    listed = materialize(runs, "runs")
+    shared = seeds.groupBy("seed").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where(F.col("lo") < F.col("hi")).select("seed")
+    runs, _ = materialize(seeds.join(shared, "seed").groupBy("key").agg(F.collect_set(F.struct("place", "n", "seed")).alias("runs")), "runs")
     discard(docs.sparkSession, seeds_path)
-    packed, packed_path = materialize(_pack(docs.join(checked(listed), "key").select("id", "key", "text", "runs"), window), "packed")
+    packed, packed_path = materialize(_pack(docs.join(runs, "key").select("id", "key", "text", "runs"), window), "packed")
+    crowded = packed.select("bucket", "name", "n").distinct().groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") > hot).select("bucket")
+    crowded, _ = materialize(crowded, "crowded")
     strings = packed.groupBy("bucket", "name", "packed").agg(F.min("id").alias("first"))
-    counted = _count(strings.repartition("bucket").sortWithinPartitions("bucket"), window)
+    calm, spread = strings, None
+    if not crowded.isEmpty():
+        calm, spread = strings.join(crowded, "bucket", "left_anti"), strings.join(crowded, "bucket", "left_semi")
+    counted = _count(calm.repartition("bucket").sortWithinPartitions("bucket"), window)
+    if spread is not None:
+        counted = counted.unionByName(_count_spread(spread, window))
     places = packed.select("name", "id", "key", "place").join(counted, "name")
     cut = F.filter(F.transform("firsts", lambda f, i: F.when(f < F.col("id"), F.col("place") + i)), lambda p: p.isNotNull())
-    ranges = materialize(
+    ranges, _ = materialize(
         places.select("key", cut.alias("cut")).where(F.size("cut") > 0).groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("cut"))).alias("cut")), "cuts"
     )
     discard(docs.sparkSession, packed_path)
-    joined = docs.join(checked(ranges), "key", "left").select("doc_id", "text", "cut")
+    joined = docs.join(ranges, "key", "left").select("doc_id", "text", "cut")
 
     def finish(batches):
         for batch in batches:
