@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 #: A side is broadcast only when its written size is below this; above it the join is shuffled.
 BROADCAST_BYTES = 24 * 1024 * 1024
 
+#: Rows of an Arrow batch, unless the session sets its own: whole texts make the default of 10,000 too many.
+ARROW_ROWS = 2000
+_ARROW = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 #: Characters that separate words in the documents' contracts: space and U+0009 to U+000D.
 SPACES = " \t\n\x0b\x0c\r"
 
@@ -37,6 +41,7 @@ def materialize(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     written size that the checked broadcasts look at.
     """
     spark = df.sparkSession
+    small_batches(spark)
     path = f"{shared_dir(spark)}/tables/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _written.append((spark, path))
@@ -82,7 +87,14 @@ def checked(side: tuple[DataFrame, str], limit: int = BROADCAST_BYTES) -> DataFr
     return F.broadcast(df) if 4 * written_bytes(df.sparkSession, path) <= limit else df
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Python workers get texts in batches of ``ARROW_ROWS``, where the session has Spark's default."""
+    if spark.conf.get(_ARROW) == "10000":
+        spark.conf.set(_ARROW, str(ARROW_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

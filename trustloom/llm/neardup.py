@@ -299,7 +299,7 @@ def shingle_table(texts: DataFrame) -> DataFrame:
     return texts.select("id", "text").mapInArrow(run, "id bigint, shingles binary")
 
 
-def meets(sets: list[np.ndarray], rows: np.ndarray, width: int = 4096) -> np.ndarray:
+def meets(sets: list[np.ndarray], rows: np.ndarray, width: int = 1024) -> np.ndarray:
     """Sizes of the intersections of the sets at ``rows`` with all sets: products of 0/1 matrices, by columns."""
     sizes = [len(x) for x in sets]
     _, cols, n = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -334,7 +334,7 @@ def spanning_links(ids: np.ndarray, comp: np.ndarray, sets: list[np.ndarray], pe
         return x
 
     out = []
-    block = max(1, (8 << 20) // len(sets))
+    block = max(1, (1 << 20) // len(sets))
     for at in range(0, len(rows), block):
         part = rows[at : at + block]
         inter = meets(sets, part).astype(np.int64)

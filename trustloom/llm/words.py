@@ -1,6 +1,6 @@
 """Words of many texts at once, as numpy arrays: places, owners and 64-bit hashes.
 
-Texts are taken in chunks of a few megabytes, so that the arrays of a chunk stay small whatever the
+Texts are taken in chunks of half a megabyte, so that the arrays of a chunk stay small whatever the
 size of an Arrow batch; one very long text is a chunk of its own.
 """
 
@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 U = np.uint64
 _BYTE_BASE, _WORD_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 
