@@ -389,11 +389,11 @@ def trust_fusion(spark, sf):
 WITH RECURSIVE o AS (SELECT o_custkey AS d, o_orderkey AS seq, (o_totalprice % 1000) / 1000 AS p, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS r FROM orders),
 f AS (SELECT d, seq, r, p AS fin, (0.5 * 0 + p) / 1 AS mean FROM o WHERE r = 1
 UNION ALL SELECT o.d, o.seq, o.r, CASE WHEN f.r >= 3 THEN 0.88 * p + 0.12 * mean ELSE p END, (mean * f.r + CASE WHEN f.r >= 3 THEN 0.88 * p + 0.12 * mean ELSE p END) / (f.r + 1) FROM f JOIN o ON o.d = f.d AND o.r = f.r + 1)
-SELECT seq, round(fin, 5) AS trust_score FROM f""")
+SELECT seq, round(fin + 1e-10, 6) AS trust_score FROM f""")
 def domain_priors(spark, sf):
     o = t(spark, sf, "orders").select(F.col("o_orderkey").alias("seq"), F.col("o_custkey").cast("string").alias("domain"), ((F.col("o_totalprice") % 1000) / 1000).alias("penalized"))
     out, _ = priors.apply_priors(o, digits=(12, 12))
-    return out.select("seq", F.round("trust_score", 5).alias("trust_score"))
+    return out.select("seq", F.round(F.col("trust_score") + 1e-10, 6).alias("trust_score"))
 
 
 @query("SELECT event_id, user_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS r FROM events) WHERE r = 1")
