@@ -33,7 +33,7 @@ class LineRules:
     max_symbol_percent: int = 10
     #: A navigation line has at least two separators and at most this many words between two of them.
     words_per_separator: int = 4
-    separators: str = r"(^|\s)[|»›>·•/](?=\s|$)"
+    separators: tuple = ("|", "»", "›", ">", "·", "•", "/")
     navigation: str = r"(?i)^\W*(home|menu|log ?in|sign (in|up)|next|previous|back to top|read more|click here|share this|search)\W*$"
     boilerplate: str = (
         r"(?i)(all rights reserved|terms of (use|service)|privacy policy|cookie policy|use of cookies|"
@@ -62,9 +62,10 @@ def symbols_of(text: Column) -> Column:
 
 def line_fails(line: Column, rules: LineRules) -> Column:
     """Whether a line (with at least one word) breaks a punctuation, navigation or boilerplate rule."""
-    n_words = F.size(words_of(line))
+    words = words_of(line)
+    n_words = F.size(words)
     closed = F.regexp_replace(line, r"[\x20\x09-\x0D]+$", "").rlike(rules.closing)
-    separators = F.regexp_count(line, F.lit(rules.separators))
+    separators = F.size(F.filter(words, lambda w: w.isin(*rules.separators)))
     return (
         ((n_words <= rules.short_words) & ~closed)
         | (F.lit(100) * symbols_of(line) > F.lit(rules.max_symbol_percent) * word_chars_of(line))

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from trustloom.llm import chat, decontam, html_main, mixing, neardup, quality, sharding, substring_dedup, toxicity, warc
 from trustloom.llm.common import table
+from trustloom.llm.oracles import ORACLE
+
+__all__ = ["ORACLE", "QUERIES", "TOXIC_GRADES"]
 
 #: Severity grades made of binary toxicity labels.
 TOXIC_GRADES = 3
@@ -75,5 +78,3 @@ QUERIES = {
     "op9_positional_index": op9_positional_index,
     "op10_chat_round_trip": op10_chat_round_trip,
 }
-
-ORACLE: dict[str, str] = {}
