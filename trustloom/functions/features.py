@@ -12,9 +12,11 @@ from trustloom.functions.text import content_words, words
 def once(df: DataFrame, **columns) -> DataFrame:
     """Adds columns behind a one-element Generate, so that the optimizer cannot copy their expressions
     into the places that use them (inside a lambda a copy would run for every element)."""
-    for name, expr in columns.items():
-        df = df.select("*", F.explode(F.array(expr)).alias(name))
-    return df
+    if len(columns) == 1:
+        ((name, expr),) = columns.items()
+        return df.select("*", F.explode(F.array(expr)).alias(name))
+    packed = df.select("*", F.explode(F.array(F.struct(*[e.alias(n) for n, e in columns.items()]))).alias("_once"))
+    return packed.select(*df.columns, *[F.col(f"_once.{n}").alias(n) for n in columns])
 
 
 def with_features(df: DataFrame, text_col: str = "content") -> DataFrame:

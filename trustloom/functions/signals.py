@@ -38,8 +38,8 @@ def _one_author(name: Column, high: Column, spam: Column) -> Column:
     )
 
 
-def author(name: Column, url: Column) -> Column:
-    high, spam = domain_tier(url) == 2, is_spam_url(url)
+def author(name: Column, url: Column, tier: Column | None = None, spam: Column | None = None) -> Column:
+    high, spam = (domain_tier(url) if tier is None else tier) == 2, is_spam_url(url) if spam is None else spam
     one = _one_author(name, high, spam)
     parts = F.filter(F.transform(F.split(name, ","), strip), lambda p: p != "")
     subs = F.transform(parts, lambda p: _one_author(p, high, spam))
@@ -64,13 +64,14 @@ def citation(source_type: Column, citations: Column, views: Column, text: Column
     )
 
 
-def domain(url: Column) -> Column:
-    host, tier = netloc(url), domain_tier(url)
+def domain(url: Column, host: Column | None = None, tier: Column | None = None, spam: Column | None = None) -> Column:
+    host, tier = netloc(url) if host is None else host, domain_tier(url) if tier is None else tier
+    spam = is_spam_url(url) if spam is None else spam
     return (
         F.when(host == "", signal(0.10, 0.90, reason="no_domain"))
         .when(tier == 2, signal(0.95, 0.92, tier="high", domain=host))
         .when(tier == 1, signal(0.62, 0.80, tier="medium", domain=host))
-        .when(is_spam_url(url), signal(0.12, 0.85, tier="spam", pattern="low_auth_regex"))
+        .when(spam, signal(0.12, 0.85, tier="spam", pattern="low_auth_regex"))
         .otherwise(signal(0.38, 0.50, tier="unknown", domain=host))
     )
 
@@ -79,8 +80,8 @@ def halflife(source_type: Column, s: Settings = DEFAULT) -> Column:
     return F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in s.halflife.items() for x in kv]), source_type), F.lit(s.halflife["blog"]))
 
 
-def recency(published: Column, source_type: Column, s: Settings = DEFAULT) -> Column:
-    age = age_days(parse_date(published), s.as_of)
+def recency(published: Column, source_type: Column, s: Settings = DEFAULT, age: Column | None = None) -> Column:
+    age = age_days(parse_date(published), s.as_of) if age is None else age
     hl = halflife(source_type, s)
     score = F.greatest(F.lit(s.recency_floor), F.round(s.recency_ceiling * F.pow(F.lit(2.0), -age / hl), 4))
     return (
@@ -94,8 +95,8 @@ def is_health(text: Column) -> Column:
     return text.rlike(L.HEALTH)
 
 
-def disclaimer(text: Column, source_type: Column, url: Column) -> Column:
-    host, tier = netloc(url), domain_tier(url)
+def disclaimer(text: Column, source_type: Column, url: Column, host: Column | None = None, tier: Column | None = None) -> Column:
+    host, tier = netloc(url) if host is None else host, domain_tier(url) if tier is None else tier
     return (
         F.when(source_type == "pubmed", signal(0.50, 0.0, reason="pubmed_peer_reviewed"))
         .when(~is_health(text), signal(0.50, 0.60, reason="non_health_content"))

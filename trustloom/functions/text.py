@@ -15,6 +15,11 @@ SPACE = r"(?U)[\s\x1C-\x1F]+"
 BANNED = r"[\x00-\x08\x0B\x0C\x0E-\x1F‎‏‪-‮⁦-⁩]"
 
 
+def listed(names) -> Column:
+    """A constant array of strings, as one literal that the optimizer splits once."""
+    return F.split(F.lit("\x1f".join(names)), "\x1f")
+
+
 def strip(text: Column) -> Column:
     """White space of any kind off both ends."""
     return F.regexp_replace(text, r"(?U)^[\s\x1C-\x1F]+|[\s\x1C-\x1F]+\z", "")
@@ -27,8 +32,8 @@ def words(text: Column) -> Column:
 
 def content_words(lower_words: Column, stop: list[str] | None = None) -> Column:
     """Purely alphabetic words that are no stop words."""
-    listed = F.array(*[F.lit(w) for w in (L.STOP_WORDS if stop is None else stop)])
-    return F.filter(lower_words, lambda w: w.rlike(r"^\p{L}+$") & ~F.array_contains(listed, w))
+    names = listed(L.STOP_WORDS if stop is None else stop)
+    return F.filter(lower_words, lambda w: w.rlike(r"^\p{L}+$") & ~F.array_contains(names, w))
 
 
 def clean_text(value: Column, max_len: int = DEFAULT.max_field) -> Column:
@@ -89,8 +94,7 @@ def host_suffixes(host: Column) -> Column:
 def domain_tier(url: Column) -> Column:
     """2: high authority, 1: medium, 0: neither. Exact domain or a subdomain of it."""
     suffixes = host_suffixes(netloc(url))
-    lit = lambda names: F.array(*[F.lit(n) for n in names])
-    return F.when(F.arrays_overlap(suffixes, lit(L.HIGH_AUTHORITY)), 2).when(F.arrays_overlap(suffixes, lit(L.MEDIUM_AUTHORITY)), 1).otherwise(0)
+    return F.when(F.arrays_overlap(suffixes, listed(L.HIGH_AUTHORITY)), 2).when(F.arrays_overlap(suffixes, listed(L.MEDIUM_AUTHORITY)), 1).otherwise(0)
 
 
 # --- identifiers, topics, zones ----------------------------------------------------------------------
@@ -113,7 +117,7 @@ def safe_topic(topic: Column) -> Column:
 
 def topic_words(topic: Column) -> Column:
     """Content tokens of a topic in order, repetitions kept."""
-    stop = F.array(*[F.lit(w) for w in L.STOP_WORDS])
+    stop = listed(L.STOP_WORDS)
     return F.filter(F.split(F.lower(topic), r"[^a-z0-9]+"), lambda w: (F.length(w) >= 2) & ~F.array_contains(stop, w))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from trustloom.config import DEFAULT, Settings
 from trustloom.functions import lexicons as L
-from trustloom.functions.text import diversity_key, domain_tier, netloc, words
+from trustloom.functions.text import diversity_key, domain_tier, listed, netloc, words
 
 
 def keep_first(df: DataFrame, key: Column, order: list) -> DataFrame:
@@ -83,7 +83,7 @@ def two_phase_top(candidates: DataFrame, transcripts: DataFrame, k: int = DEFAUL
 def journal_score(journal: Column, pubdate: Column) -> Column:
     """2 for a listed journal (as a part of the name), plus a quarter for each year after 2015."""
     name = F.lower(F.coalesce(journal, F.lit("")))
-    listed = F.exists(F.array(*[F.lit(j) for j in L.JOURNALS]), lambda j: F.contains(name, j))
+    listed = F.exists(listed(L.JOURNALS), lambda j: F.contains(name, j))
     year = F.substring(pubdate, 1, 4).try_cast("int")
     return F.when(listed, 2.0).otherwise(0.0) + F.greatest(F.lit(0.0), F.coalesce((year - 2015) * 0.25, F.lit(0.0)))
 

@@ -6,11 +6,13 @@ by record id and URL (dedup) and the final order.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trustloom.config import DEFAULT, Settings
 from trustloom.functions import chunking, trust
+from trustloom.functions.features import once
 from trustloom.functions.text import clean_text, netloc, region, words
 from trustloom.operators import priors, publishing, tagging
 
@@ -23,17 +25,19 @@ def enrich(records: DataFrame, taxonomy=tagging.SAMPLE, s: Settings = DEFAULT) -
     for name, kind in OPTIONAL.items():
         if name not in df.columns:
             df = df.withColumn(name, F.lit(None).cast(kind))
-    df = df.withColumn("text", clean_text(F.col("text"), 10**7))
+    df = once(df.withColumnRenamed("text", "_raw_text"), text=clean_text(F.col("_raw_text"), 10**7)).drop("_raw_text")
     floor = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in s.min_words.items() for x in kv]), F.col("source_type")), F.lit(s.min_words["blog"]))
     df = df.where(F.size(words(F.col("text"))) >= floor)
     df = chunking.chunk(df, "text", "content_chunks", s)
-    df = df.withColumn("content_chunks", F.when(F.size("content_chunks") > 0, F.col("content_chunks")).otherwise(chunking.fallback_chunk(F.col("text"), F.col("source_type"), s)))
-    return df.withColumns({"content": chunking.assemble(F.col("content_chunks"), s.chunk_overlap), "topic_tags": tagging.tags(F.col("text"), taxonomy, s), "region": region(F.col("source_url"))}).drop("text")
+    df = once(df.withColumnRenamed("content_chunks", "_cc"), content_chunks=F.when(F.size("_cc") > 0, F.col("_cc")).otherwise(chunking.fallback_chunk(F.col("text"), F.col("source_type"), s))).drop("_cc")
+    made = {"content": chunking.assemble(F.col("content_chunks"), s.chunk_overlap), "topic_tags": tagging.tags(F.col("text"), taxonomy, s), "region": region(F.col("source_url"))}
+    return once(df, **made).drop("text")
 
 
 def run(records: DataFrame, ingested_at: str, state: DataFrame | None = None, taxonomy=tagging.SAMPLE, s: Settings = DEFAULT) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(published, invalid, new prior state). Records: topic, topic_idx, seq, source_type, source_url, author, published_date, text, ..."""
-    scored = trust.score(enrich(records, taxonomy, s), s).withColumn("domain", netloc(F.col("source_url")))
+    # read twice (scores by domain, then all columns by seq), so its rows are kept on executors' disks meanwhile
+    scored = trust.score(enrich(records, taxonomy, s), s).withColumn("domain", netloc(F.col("source_url"))).persist(StorageLevel.MEMORY_AND_DISK)
     final, new_state = priors.apply_priors(scored.select("seq", "domain", F.col("penalized_score").alias("penalized")), state, s)
     joined = scored.join(final.select("seq", "trust_score", "prior_used"), "seq")
     published, invalid = publishing.publish(publishing.canonical(joined, ingested_at, s), s)
