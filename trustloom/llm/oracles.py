@@ -39,6 +39,15 @@ u AS (SELECT w.doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS q FROM w),
 k AS (SELECT u.doc_id, count(*) AS n, string_agg(u.x, ' ' ORDER BY u.q) AS t FROM u ANTI JOIN x ON u.doc_id = x.doc_id AND u.q = x.q GROUP BY u.doc_id)
 SELECT w.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM w LEFT JOIN k USING (doc_id)"""
 
+OP7 = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_words("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, md5(array_to_string(w[i:i+4], ' ')) AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id), p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)), u AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, u.b FROM r JOIN u ON r.b = u.a),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM c LEFT JOIN n USING (doc_id)"""
+
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _ALNUM = f"regexp_extract_all(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
@@ -93,6 +102,7 @@ ORACLE = {
     "op3_line_first_cleaning": OP3,
     "op4_raked_mixture": op4(0.6, 0.7, 7, 12),
     "op6_super_kmers": OP6,
+    "op7_odd_sketches": OP7,
     "op9_positional_index": OP9,
     "op10_chat_round_trip": OP10,
 }
