@@ -25,7 +25,11 @@ def write_manifests(records: DataFrame, path: str, ingested_at: str) -> None:
     manifest(records, ingested_at).write.mode("overwrite").json(f"{path}/manifest")
 
 
+def _by_topic(a, b):
+    return F.when(a["topic"] < b["topic"], -1).when(a["topic"] > b["topic"], 1).otherwise(0)
+
+
 def index(manifests: DataFrame) -> DataFrame:
     """The index over all topics as one JSON row: totals and one entry a topic."""
     entry = F.struct(*sorted(manifests.columns))
-    return manifests.agg(F.to_json(F.struct(F.count(F.lit(1)).alias("topics_n"), F.sum("total_records").alias("total_records"), F.array_sort(F.collect_list(F.struct("topic", entry.alias("entry")))).alias("topics"))).alias("index"))
+    return manifests.agg(F.to_json(F.struct(F.count(F.lit(1)).alias("topics_n"), F.sum("total_records").alias("total_records"), F.array_sort(F.collect_list(F.struct("topic", entry.alias("entry"))), _by_topic).alias("topics"))).alias("index"))
