@@ -19,16 +19,21 @@ def once(df: DataFrame, **columns) -> DataFrame:
     return packed.select(*df.columns, *[F.col(f"_once.{n}").alias(n) for n in columns])
 
 
-def with_features(df: DataFrame, text_col: str = "content") -> DataFrame:
-    """Adds _words (lower case), _n, _content_words, _counts (ascending, all words), _ccounts, _top.
+def with_features(df: DataFrame, text_col: str = "content", frequencies: bool = True) -> DataFrame:
+    """Adds _words (lower case), _n, _content_words, and with ``frequencies`` _counts (ascending, all words), _ccounts, _top.
 
     Each is computed once a row.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     df = once(df, _words=words(F.lower(text))).withColumn("_n", F.size("_words"))
     df = once(df, _content_words=content_words(F.col("_words")))
-    df = once(df, _counts=stats.counts(F.col("_words")), _ccounts=stats.counts(F.col("_content_words")), _top=stats.first_most_common(F.col("_content_words")))
-    return df
+    if not frequencies:
+        return df
+    pairs = F.array_sort(F.transform("_content_words", lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
+    df = once(df, _sorted=F.array_sort("_words"), _pairs=pairs)
+    df = once(df, _ends=stats.run_ends(F.col("_sorted")), _cends=stats.run_ends(F.transform("_pairs", lambda p: p["w"])))
+    df = once(df, _counts=stats.run_counts(F.col("_ends")), _ccounts=stats.run_counts(F.col("_cends")), _top=stats.top_of(F.col("_pairs"), F.col("_cends")))
+    return df.drop("_sorted", "_pairs", "_ends", "_cends")
 
 
 FEATURES = ["_words", "_n", "_content_words", "_counts", "_ccounts", "_top"]

@@ -6,18 +6,34 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def run_ends(sorted_items: Column) -> Column:
+    """Positions (from 1) at which a run of equal items ends. Pass a column: lambdas would sort again."""
+    after = F.slice(sorted_items, F.lit(2), F.greatest(F.size(sorted_items) - 1, F.lit(0)))
+    same_as_next = F.zip_with(sorted_items, after, lambda x, y: x.eqNullSafe(y))
+    return F.filter(F.transform(same_as_next, lambda same, i: F.when(~same, i + 1)), lambda i: i.isNotNull())
+
+
+def run_counts(ends: Column) -> Column:
+    """Ascending lengths of the runs."""
+    runs = F.zip_with(ends, F.concat(F.array(F.lit(0)), ends), lambda end, before: end - before)
+    return F.array_sort(F.filter(runs, lambda n: n.isNotNull()))
+
+
 def counts(items: Column) -> Column:
-    """Ascending counts of the distinct items, from run lengths of the sorted array."""
-    s = F.array_sort(items)
-    start = F.lit(None).cast("string")
-    return F.aggregate(
-        s,
-        F.struct(start.alias("w"), F.lit(0).alias("n"), F.array().cast("array<int>").alias("out")),
-        lambda acc, w: F.when(w == acc["w"], F.struct(acc["w"].alias("w"), (acc["n"] + 1).alias("n"), acc["out"].alias("out"))).otherwise(
-            F.struct(w.alias("w"), F.lit(1).alias("n"), F.when(acc["n"] > 0, F.concat(acc["out"], F.array(acc["n"]))).otherwise(acc["out"]).alias("out"))
-        ),
-        lambda acc: F.array_sort(F.when(acc["n"] > 0, F.concat(acc["out"], F.array(acc["n"]))).otherwise(acc["out"])),
+    """Ascending counts of the distinct items."""
+    return run_counts(run_ends(F.array_sort(items)))
+
+
+def top_of(sorted_pairs: Column, ends: Column) -> Column:
+    """(w, n): the most frequent item, of equals the one that comes first, from (w, i) pairs sorted."""
+    best = F.array_min(
+        F.zip_with(
+            F.slice(F.concat(F.array(F.lit(0)), ends), F.lit(1), F.size(ends)),
+            ends,
+            lambda before, end: F.struct((before - end).alias("neg"), F.element_at(sorted_pairs, before + 1)["i"].alias("i"), F.element_at(sorted_pairs, before + 1)["w"].alias("w")),
+        )
     )
+    return F.struct(best["w"].alias("w"), F.coalesce(-best["neg"], F.lit(0)).alias("n"))
 
 
 def entropy(sorted_counts: Column, total: Column) -> Column:
@@ -37,27 +53,3 @@ def ngram_repetition(items: Column, n: int = 4) -> Column:
     m = F.size(items) - (n - 1)
     grams = F.transform(F.sequence(F.lit(1), m), lambda i: F.concat_ws("\u0001", *[F.element_at(items, i + k) for k in range(n)]))
     return F.when(m < 1, 0.0).otherwise(1 - F.size(F.array_distinct(grams)) / m)
-
-
-def first_most_common(items: Column) -> Column:
-    """(word, n): the most frequent item, of equals the one that comes first."""
-    pairs = F.array_sort(F.transform(items, lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
-    none = F.struct(F.lit(None).cast("string").alias("w"), F.lit(0).alias("n"), F.lit(0).alias("i"))
-    return F.aggregate(
-        pairs,
-        F.struct(none.alias("run"), none.alias("best")),
-        lambda acc, p: _step(acc, p),
-        lambda acc: F.when(_better(acc["run"], acc["best"]), acc["run"]).otherwise(acc["best"]),
-    )
-
-
-def _better(a: Column, b: Column) -> Column:
-    return (a["n"] > b["n"]) | ((a["n"] == b["n"]) & (a["i"] < b["i"]))
-
-
-def _step(acc: Column, p: Column) -> Column:
-    same = F.coalesce(acc["run"]["w"] == p["w"], F.lit(False))
-    grown = F.struct(acc["run"]["w"].alias("w"), (acc["run"]["n"] + 1).alias("n"), acc["run"]["i"].alias("i"))
-    fresh = F.struct(p["w"].alias("w"), F.lit(1).alias("n"), p["i"].alias("i"))
-    closed = F.when(_better(acc["run"], acc["best"]), acc["run"]).otherwise(acc["best"])
-    return F.when(same, F.struct(grown.alias("run"), acc["best"].alias("best"))).otherwise(F.struct(fresh.alias("run"), closed.alias("best")))

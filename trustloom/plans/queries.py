@@ -83,7 +83,8 @@ WITH d AS (SELECT doc_id, {_TOK} AS w FROM documents), g AS (SELECT doc_id, x, c
 e AS (SELECT doc_id, sum(n) AS s, sum(n * log2(n)) AS l FROM g GROUP BY doc_id)
 SELECT doc_id, s::INT AS words, round(CASE WHEN s < 80 THEN 99.0 ELSE log2(s) - l / s END, 5) AS entropy FROM e""")
 def word_entropy(spark, sf):
-    df = _featured(spark, sf).where("_n > 0")
+    df = features.once(t(spark, sf, "documents").select("doc_id", "text"), _sorted=F.array_sort(text.words(F.lower(F.col("text")))))
+    df = features.once(df, _counts=stats.run_counts(stats.run_ends(F.col("_sorted")))).withColumn("_n", F.size("_sorted")).where("_n > 0")
     h = F.when(F.col("_n") < DEFAULT.entropy_min_words, DEFAULT.entropy_skip).otherwise(stats.entropy(F.col("_counts"), F.col("_n")))
     return df.select("doc_id", F.col("_n").alias("words"), F.round(h, 5).alias("entropy"))
 
@@ -118,7 +119,8 @@ WITH d AS (SELECT doc_id, {_TOK} AS w FROM documents),
 g AS (SELECT doc_id, len(w) AS n, CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i+3], chr(1))) ELSE [] END AS g FROM d)
 SELECT doc_id, round(CASE WHEN n < 4 THEN 0.0 ELSE 1 - len(list_distinct(g)) / len(g)::DOUBLE END, 5) AS repetition FROM g""")
 def ngram_repetition(spark, sf):
-    return _featured(spark, sf).select("doc_id", F.round(stats.ngram_repetition(F.col("_words"), 4), 5).alias("repetition"))
+    df = features.once(t(spark, sf, "documents").select("doc_id", "text"), _words=text.words(F.lower(F.col("text"))))
+    return df.select("doc_id", F.round(stats.ngram_repetition(F.col("_words"), 4), 5).alias("repetition"))
 
 
 @query("""
