@@ -32,8 +32,8 @@ def words(text: Column) -> Column:
 
 def content_words(lower_words: Column, stop: list[str] | None = None) -> Column:
     """Purely alphabetic words that are no stop words."""
-    names = listed(L.STOP_WORDS if stop is None else stop)
-    return F.filter(lower_words, lambda w: w.rlike(r"^\p{L}+$") & ~F.array_contains(names, w))
+    names = L.STOP_WORDS if stop is None else stop
+    return F.filter(lower_words, lambda w: w.rlike(r"^\p{L}+$") & ~w.isin(*names))  # a hash set, as there are many
 
 
 def clean_text(value: Column, max_len: int = DEFAULT.max_field) -> Column:
