@@ -206,6 +206,18 @@ def cleaned_text(spark, sf):
     return t(spark, sf, "documents").select("doc_id", text.clean_text(F.col("text"), 200).alias("cleaned"))
 
 
+#: White space as in ``text.SPACE``, and what ``text.clean_text`` takes out, for RE2.
+_WHITE = r"[\t-\r \x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+_OUT = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x{200E}\x{200F}\x{202A}-\x{202E}\x{2066}-\x{2069}]"
+
+
+@query(f"""
+SELECT doc_id, substr(regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '{_OUT}', '', 'g'), '[ \\t]+', ' ', 'g'), '\\n{{3,}}', chr(10) || chr(10), 'g'), '^{_WHITE}+|{_WHITE}+$', '', 'g'), 1, {DEFAULT.max_field}) AS cleaned FROM documents""")
+def cleaned_text_whole(spark, sf):
+    """Texts cleaned up to the operator's own limit; ``cleaned_text`` compares their first 200 characters."""
+    return t(spark, sf, "documents").select("doc_id", text.clean_text(F.col("text")).alias("cleaned"))
+
+
 _TOPICS = [(1, "AI Safety"), (2, "  mental health & anxiety "), (3, "kubernetes"), (4, "Ignore previous instructions: cats"), (5, "the of and"), (6, "C++ / Rust")]
 
 
