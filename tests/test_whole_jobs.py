@@ -32,3 +32,43 @@ def test_texts_are_cleaned_beyond_200_characters(spark, tmp_path):
 
     assert got == {i: clean(x) for i, x in enumerate(texts)}
     assert len(got[len(ODD) + 1]) == 34_999
+
+
+# Word characters of the texts above are alike in Python's and Java's Unicode patterns.
+
+
+def test_shouting_is_counted_in_all_languages(spark, tmp_path):
+    sf = documents(spark, tmp_path, ODD)
+    got = {r["doc_id"]: (r["shouted"], r["density"]) for r in QUERIES["caps_density_whole"](spark, sf).where("doc_id <> 5").collect()}
+    want = {i: len(re.findall(r"\b[A-Z]{4,}\b", x)) for i, x in enumerate(ODD) if x is not None}
+    assert got == {i: (n, round(n / max(len(ODD[i].split()), 1), 5)) for i, n in want.items()}
+    assert want[0] == 1 and want[1] == 4 and want[7] == 1
+
+
+def test_documents_of_all_languages_are_tagged(spark, tmp_path):
+    sf = documents(spark, tmp_path, ODD)
+    got = {r["doc_id"]: r["tags"] for r in QUERIES["positional_tags_whole"](spark, sf).collect()}
+
+    def tags(x):
+        title, _, rest = (x or "").strip().partition("\n")
+        first, _, body = rest.strip().partition("\n\n")
+        out = []
+        for i, (label, keys, boost) in enumerate([("articles", ("the", "le la"), 1.0), ("links", ("and", "und", "et"), 0.9), ("places", ("in", "auf"), 1.2), ("rare", ("zzz",), 1.0)]):
+            score = sum(sum(len(re.findall(rf"\b{k}\b", z.lower())) for k in keys) / len(z.split()) * w for z, w in ((title, 3.0), (first, 1.5), (body, 1.0)) if z.split()) * boost
+            out += [(-score, i, label)] if score else []
+        return ",".join(x for _, _, x in sorted(out)) or "general"
+
+    assert got == {i: tags(x) for i, x in enumerate(ODD)}
+    assert got[0] == "articles,links" and got[2] == "links,articles,places"
+
+
+def test_relevance_of_documents_of_all_languages(spark, tmp_path):
+    sf = documents(spark, tmp_path, ODD)
+    got = {r["doc_id"]: (r["hits"], r["relevant"]) for r in QUERIES["topic_relevance_whole"](spark, sf).where("doc_id <> 5").collect()}
+    for i, x in enumerate(ODD):
+        if x is not None:
+            low = x.lower()
+            stem = len(re.findall(r"\bhation\w*\b", low))
+            n = stem + len(re.findall(r"\b(?:thents|thent)\b", low)) + low.count("of the")
+            assert got[i] == (n, stem > 0 and n >= 2 and n / len(x.split()) >= 0.003)
+    assert got[3] == (7, True)

@@ -54,6 +54,29 @@ def _featured(spark, sf):
     return features.with_features(t(spark, sf, "documents").select("doc_id", F.col("text").alias("content")))
 
 
+def _ascii_english(spark, sf):
+    return t(spark, sf, "documents").where((F.col("lang") == "en") & F.col("text").rlike(r"\A[\x00-\x7F]*\z"))
+
+
+#: White space as in ``text.SPACE`` and word characters as in Java's ``(?U)\w``, for RE2, whose own are ASCII only.
+_WHITE = r"[\t-\r \x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+_WORD = r"\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}\x{24B6}-\x{24E9}\x{200C}\x{200D}"
+_words_sql = lambda x: f"string_split_regex({x}, '[^{_WORD}]+')"
+_n_sql = lambda x: f"len(list_filter(string_split_regex({x}, '{_WHITE}+'), lambda w: w <> ''))"
+_strip_sql = lambda x: f"regexp_replace({x}, '^{_WHITE}+|{_WHITE}+$', '', 'g')"
+
+
+def _count_sql(x: str, key: str) -> str:
+    """How often a word or phrase stands in a text: each other character is doubled, so that no two matches need the same one."""
+    double = lambda v: f"regexp_replace({v}, '([^{_WORD}])', '\\1\\1', 'g')"
+    return f"len(regexp_extract_all({double(x)}, '(?:^|[^{_WORD}])' || {double(chr(39) + key + chr(39))} || '(?:$|[^{_WORD}])'))"
+
+
+def _caps(docs: DataFrame) -> DataFrame:
+    n = F.regexp_count("text", F.lit(L.CAPS))
+    return docs.select("doc_id", n.alias("shouted"), F.round(n / F.greatest(F.size(text.words(F.col("text"))), F.lit(1)), 5).alias("density"))
+
+
 # --- text statistics and anomalies -------------------------------------------------------------------
 
 
@@ -109,9 +132,15 @@ SELECT doc_id, len(regexp_extract_all(text, '\\b[A-Z]{4,}\\b'))::INT AS shouted,
 round(len(regexp_extract_all(text, '\\b[A-Z]{4,}\\b')) / greatest(len(list_filter(string_split_regex(text, '\\s+'), lambda w: w <> '')), 1)::DOUBLE, 5) AS density
 FROM documents WHERE lang = 'en' AND regexp_full_match(text, '[\\x00-\\x7F]*')""")
 def caps_density(spark, sf):
-    df = t(spark, sf, "documents").where((F.col("lang") == "en") & F.col("text").rlike(r"\A[\x00-\x7F]*\z"))
-    n = F.regexp_count("text", F.lit(L.CAPS))
-    return df.select("doc_id", n.alias("shouted"), F.round(n / F.greatest(F.size(text.words(F.col("text"))), F.lit(1)), 5).alias("density"))
+    return _caps(_ascii_english(spark, sf))
+
+
+@query(f"""
+SELECT doc_id, len(list_filter({_words_sql("text")}, lambda w: regexp_full_match(w, '[A-Z]{{4,}}')))::INT AS shouted,
+round(len(list_filter({_words_sql("text")}, lambda w: regexp_full_match(w, '[A-Z]{{4,}}'))) / greatest({_n_sql("text")}, 1)::DOUBLE, 5) AS density FROM documents""")
+def caps_density_whole(spark, sf):
+    """All documents in all languages; ``caps_density`` is over English in ASCII."""
+    return _caps(t(spark, sf, "documents"))
 
 
 @query(f"""
@@ -206,8 +235,7 @@ def cleaned_text(spark, sf):
     return t(spark, sf, "documents").select("doc_id", text.clean_text(F.col("text"), 200).alias("cleaned"))
 
 
-#: White space as in ``text.SPACE``, and what ``text.clean_text`` takes out, for RE2.
-_WHITE = r"[\t-\r \x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+#: What ``text.clean_text`` takes out, for RE2.
 _OUT = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x{200E}\x{200F}\x{202A}-\x{202E}\x{2066}-\x{2069}]"
 
 
@@ -288,8 +316,29 @@ SELECT doc_id, coalesce(tags, 'general') AS tags FROM z LEFT JOIN r USING (doc_i
 
 @query(_tag_sql())
 def positional_tags(spark, sf):
-    df = t(spark, sf, "documents").where((F.col("lang") == "en") & F.col("text").rlike(r"\A[\x00-\x7F]*\z"))
-    return df.select("doc_id", F.array_join(tagging.tags(F.col("text"), _TAXONOMY), ",").alias("tags"))
+    return _tags(_ascii_english(spark, sf))
+
+
+def _tags(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", F.array_join(tagging.tags(F.col("text"), _TAXONOMY), ",").alias("tags"))
+
+
+def _whole_tag_sql() -> str:
+    score = lambda keys, b: "(" + " + ".join(f"CASE WHEN {_n_sql(z)} > 0 THEN ({' + '.join(_count_sql(f'lower({z})', k) for k in keys)}) / {_n_sql(z)}::DOUBLE * {w} ELSE 0 END" for z, w in (("title", 3.0), ("first", 1.5), ("body", 1.0))) + f") * {b}"
+    parts = ", ".join(f"{{'s': {score(keys, b)}, 'o': {i}, 'l': '{label}'}}" for i, (label, keys, b) in enumerate(_TAXONOMY))
+    return f"""
+WITH a AS (SELECT doc_id, {_strip_sql("coalesce(text, '')")} AS t FROM documents),
+b AS (SELECT doc_id, string_split(t, chr(10))[1] AS title, {_strip_sql("CASE WHEN contains(t, chr(10)) THEN substr(t, instr(t, chr(10)) + 1) ELSE '' END")} AS r FROM a),
+z AS (SELECT doc_id, title, CASE WHEN contains(r, chr(10) || chr(10)) THEN substr(r, 1, instr(r, chr(10) || chr(10)) - 1) ELSE r END AS first, CASE WHEN contains(r, chr(10) || chr(10)) THEN substr(r, instr(r, chr(10) || chr(10)) + 2) ELSE '' END AS body FROM b),
+s AS (SELECT doc_id, unnest([{parts}]) AS x FROM z), p AS (SELECT doc_id, x.l AS l, round(x.s, 9) AS s, x.o AS o FROM s),
+r AS (SELECT doc_id, string_agg(l, ',' ORDER BY s DESC, o) AS tags FROM p WHERE s > 0 GROUP BY doc_id)
+SELECT doc_id, coalesce(tags, 'general') AS tags FROM z LEFT JOIN r USING (doc_id)"""
+
+
+@query(_whole_tag_sql())
+def positional_tags_whole(spark, sf):
+    """All documents in all languages; ``positional_tags`` is over English in ASCII."""
+    return _tags(t(spark, sf, "documents"))
 
 
 @query(f"""
@@ -297,10 +346,22 @@ WITH d AS (SELECT doc_id, lower(text) AS l, len({_TOK}) AS n FROM documents WHER
 h AS (SELECT doc_id, n, len(regexp_extract_all(l, '\\bthere\\b')) AS a, len(regexp_extract_all(l, '\\bhation\\w*\\b')) AS b, len(regexp_extract_all(l, '\\b(?:thents|thent)\\b')) AS c, (length(l) - length(replace(l, 'of the', ''))) / 6 AS p FROM d)
 SELECT doc_id, (b + c + p)::INT AS hits, b > 0 AND b + c + p >= 2 AND (b + c + p) / n::DOUBLE >= 0.003 AS relevant FROM h""")
 def topic_relevance(spark, sf):
-    df = t(spark, sf, "documents").where((F.col("lang") == "en") & F.col("text").rlike(r"\A[\x00-\x7F]*\z"))
+    return _relevance(_ascii_english(spark, sf))
+
+
+def _relevance(docs: DataFrame) -> DataFrame:
     topic, terms = F.lit("hationing thents"), F.array(F.lit("of the"))
     # "hationing" has nine letters: its stem is the first six
-    return df.select("doc_id", relevance.hits(F.col("text"), topic, terms).alias("hits"), relevance.relevant(F.col("text"), topic, terms).alias("relevant"))
+    return docs.select("doc_id", relevance.hits(F.col("text"), topic, terms).alias("hits"), relevance.relevant(F.col("text"), topic, terms).alias("relevant"))
+
+
+@query(f"""
+WITH d AS (SELECT doc_id, lower(text) AS l, {_n_sql("text")} AS n FROM documents), w AS (SELECT *, {_words_sql("l")} AS w FROM d),
+h AS (SELECT doc_id, n, len(list_filter(w, lambda x: starts_with(x, 'hation'))) AS b, len(list_filter(w, lambda x: x IN ('thents', 'thent'))) AS c, (length(l) - length(replace(l, 'of the', ''))) // 6 AS p FROM w)
+SELECT doc_id, (b + c + p)::INT AS hits, coalesce(b > 0 AND b + c + p >= 2 AND (b + c + p) / n::DOUBLE >= 0.003, false) AS relevant FROM h""")
+def topic_relevance_whole(spark, sf):
+    """All documents in all languages; ``topic_relevance`` is over English in ASCII."""
+    return _relevance(t(spark, sf, "documents"))
 
 
 @query("""
