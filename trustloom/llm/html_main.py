@@ -7,10 +7,14 @@
 3. Subtrees on at least ``share`` of a host's pages, and on ``least_pages`` pages, are that host's template.
    A page has a bounded number of subtrees, so a host has at most (subtrees a page / share) of them:
    the list that comes back to the pages is bounded by the size of a page, not by the host.
-4. Each page is read once more without its host's template, and its blocks are joined.
+4. Blocks inside the main element (``INNER``: sections, paragraphs, lists, not their items) are hashed and
+   counted likewise, but once for each distinct rest of the main element they stand in, and against the
+   host's distinct main elements: copies of an article are no template. A rest is told by the smallest hash
+   of its 5-word runs, by ``KEYS`` hash functions that must all count enough, so near copies count as one.
+5. Each page is read once more without its host's template, and its blocks are joined.
 
-The main element is the outermost <article>, else <main>, else the body. Inside it nothing is dropped
-for recurring, as copies of an article are no template; furniture inside it is.
+The main element is the outermost <article>, else <main>, else the body; it itself is never dropped.
+A body that is the main element has all of its subtrees counted by step 2.
 
 Defined cases: null or empty html gives the empty text; a null or relative url has the empty host;
 repeated rows are pages of their own; tags that are never closed end with their parent.
@@ -21,7 +25,9 @@ from __future__ import annotations
 import hashlib
 import re
 from html import unescape
+from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +36,9 @@ from trustloom.llm.common import checked, materialize
 
 LEAST_PAGES = 4
 SHARE = 0.3
+#: Words of a run and hash functions that tell what a block inside the main element stands in.
+RUN = 5
+KEYS = 4
 
 #: Fixed values of HTML: elements without content, raw text elements, block elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -46,6 +55,9 @@ ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
 SCOPE = frozenset("ul ol dl table article aside body div footer header main nav section form html td th blockquote".split())
 INLINE = frozenset("a abbr b big cite code del em font i ins kbd mark q s samp small span strike strong sub sup time tt u var".split())
 
+#: Blocks that can be template inside the main element. Headings, items and cells recur as parts of contents.
+INNER = frozenset("address article aside blockquote center details div dl fieldset figure footer header hgroup main ol p pre section table ul".split())
+
 FURNITURE_TAGS = frozenset("nav footer aside form button dialog menu".split())
 FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 FURNITURE_WORDS = frozenset(
@@ -182,6 +194,79 @@ def hash_subtrees(root: Node, skip: list[Node]) -> set[int]:
     return seen
 
 
+def _digest(parts: list[str]) -> int:
+    return int.from_bytes(hashlib.blake2b("\0".join(parts).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+def hash_main(nodes: list[Node]) -> tuple[list[tuple[int, int, int]], list[str], int]:
+    """Sets ``hash`` of the elements inside ``nodes``, less furniture.
+
+    Returns (hash, first word, end) of the ``INNER`` ones, the words of all nodes, and a hash of all.
+    """
+    found: dict[int, tuple[int, int, int]] = {}  # the first of equal ones
+    words: list[str] = []
+    tops: list[str] = []
+    for top in nodes:
+        todo: list = [(top, -1)]
+        while todo:
+            node, start = todo.pop()
+            if type(node) is str:
+                words += _SPACE.sub(" ", node).split()
+            elif start < 0:
+                todo.append((node, len(words)))
+                todo += [(c, -1) for c in reversed(node.children) if type(c) is str or not c.furniture]
+            elif len(words) > start:
+                parts = ["main", node.tag]  # not the hash that the same subtree has outside
+                for c in node.children:
+                    if type(c) is str:
+                        if s := _SPACE.sub(" ", c).strip():
+                            parts.append(s)
+                    elif c.hash is not None:
+                        parts.append(str(c.hash))
+                h = _digest(parts)
+                if node is top:
+                    tops.append(str(h))
+                else:
+                    node.hash = h
+                    if node.tag in INNER:
+                        found.setdefault(h, (h, start, len(words)))
+    return list(found.values()), words, _digest(tops)
+
+
+_ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """One row of well-spread 64-bit values for each of the ``KEYS`` hash functions."""
+    x = x[None, :] ^ (np.arange(1, KEYS + 1, dtype=np.uint64) * _ODD[0])[:, None]
+    for m in _ODD[1:3]:
+        x = (x ^ (x >> np.uint64(31))) * m
+    return x ^ (x >> np.uint64(29))
+
+
+def rest_keys(words: list[str], spans: list[tuple[int, int]]) -> np.ndarray:
+    """``KEYS`` values a span: smallest hashes of the runs of words before and after it, 0 if there are none."""
+    n, none = len(words), np.iinfo(np.uint64).max
+    crc = np.fromiter((crc32(w.encode("utf-8", "surrogatepass")) for w in words), np.uint64, n)
+    before = after = np.full((KEYS, 0), none)
+    if n >= RUN:
+        runs = np.zeros(n - RUN + 1, np.uint64)
+        for i in range(RUN):
+            runs += crc[i : n - RUN + 1 + i] * _ODD[i]
+        runs = _mixed(runs)
+        before = np.minimum.accumulate(runs, axis=1)
+        after = np.minimum.accumulate(runs[:, ::-1], axis=1)[:, ::-1]
+    out = np.full((KEYS, len(spans)), none)
+    for k, (a, b) in enumerate(spans):
+        for side, at, x, y in ((before, a - RUN, 0, a), (after, b, b, n)):
+            if y - x >= RUN:
+                out[:, k] = np.minimum(out[:, k], side[:, at])
+            elif y > x:  # a side of a few words is a run of its own
+                short = _mixed((crc[x:y] * _ODD[: y - x]).sum(keepdims=True, dtype=np.uint64))
+                out[:, k] = np.minimum(out[:, k], short[:, 0])
+    return np.where(out == none, 0, out).astype(np.int64)
+
+
 def text_of(nodes: list[Node], template: set[int]) -> str:
     """Text of the nodes without furniture and template, blocks joined by one space."""
     out: list[str] = []
@@ -209,19 +294,43 @@ def extract_main(pages: DataFrame, share: float = SHARE, least_pages: int = LEAS
     pages = pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")).withColumn("host", host_of(F.col("url")))
 
     def subtrees(batches):
+        """(host, hash, kind, key); kinds: -1 outside the main element, 0 to KEYS - 1 inside by hash function, KEYS the main element."""
         for batch in batches:
-            hosts, rows, hashes = batch.column(0), [], []
+            hosts, rows, hashes, kinds, keys = batch.column(0), [], [], [], []
             for i, html in enumerate(batch.column(1).to_pylist()):
-                if html:
-                    root = parse(html)
-                    found = hash_subtrees(root, main_nodes(root))
-                    rows += [i] * len(found)
-                    hashes += found
-            yield pa.RecordBatch.from_arrays([hosts.take(pa.array(rows, pa.int64())), pa.array(hashes, pa.int64())], ["host", "hash"])
-
-    counted = pages.select("host", "html").mapInArrow(subtrees, "host string, hash bigint").groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
-    of_host = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    often = counted.where(F.col("n") >= least_pages).join(of_host, "host").where(F.col("n") >= F.lit(share) * F.col("pages"))
+                if not html:
+                    continue
+                root = parse(html)
+                nodes = main_nodes(root)
+                found = hash_subtrees(root, nodes)
+                rows += [i] * len(found)
+                hashes += found
+                kinds += [-1] * len(found)
+                keys += [0] * len(found)
+                if nodes != [root]:
+                    inner, words, whole = hash_main(nodes)
+                    of_rest = rest_keys(words, [(x, y) for _, x, y in inner])
+                    rows += [i] * (KEYS * len(inner) + 1)
+                    for k in range(KEYS):
+                        hashes += [h for h, _, _ in inner]
+                        kinds += [k] * len(inner)
+                        keys += of_rest[k].tolist()
+                    hashes.append(0)
+                    kinds.append(KEYS)
+                    keys.append(whole)
+            yield pa.RecordBatch.from_arrays(
+                [hosts.take(pa.array(rows, pa.int64())), pa.array(hashes, pa.int64()), pa.array(kinds, pa.int8()), pa.array(keys, pa.int64())], ["host", "hash", "kind", "key"]
+            )
+
+    emitted = pages.select("host", "html").mapInArrow(subtrees, "host string, hash bigint, kind tinyint, key bigint")
+    counted = emitted.groupBy("host", "hash", "kind", "key").agg(F.count(F.lit(1)).alias("pages")).groupBy("host", "hash", "kind").agg(F.sum("pages").alias("pages"), F.count(F.lit(1)).alias("mains"))
+    n = F.when(F.col("kind") < 0, F.col("pages")).otherwise(F.col("mains"))
+    counted = counted.select("host", "hash", "kind", n.alias("n")).where((F.col("n") >= least_pages) | (F.col("kind") == KEYS))
+    counts, _ = materialize(counted, "subtrees")
+    of_host = pages.groupBy("host").agg(F.count(F.lit(1)).alias("all")).withColumn("outside", F.lit(True))
+    of_host = of_host.unionByName(counts.where(F.col("kind") == KEYS).select("host", F.col("n").alias("all"), F.lit(False).alias("outside")))
+    often = counts.where(F.col("kind") < KEYS).withColumn("outside", F.col("kind") < 0).join(of_host, ["host", "outside"]).where(F.col("n") >= F.lit(share) * F.col("all"))
+    often = often.groupBy("host", "hash", "outside").agg(F.count(F.lit(1)).alias("kinds")).where(F.col("outside") | (F.col("kinds") == KEYS))
     templates = materialize(often.groupBy("host").agg(F.collect_set("hash").alias("template")), "templates")
     joined = pages.join(checked(templates), "host", "left").select("page_id", "url", "html", "template")
     kind = pages.schema["page_id"].dataType.simpleString()
@@ -236,7 +345,10 @@ def extract_main(pages: DataFrame, share: float = SHARE, least_pages: int = LEAS
                 root = parse(html)
                 nodes = main_nodes(root)
                 if template:
-                    hash_subtrees(root, nodes)
+                    if nodes == [root]:
+                        hash_subtrees(root, nodes)
+                    else:
+                        hash_main(nodes)
                 texts.append(text_of(nodes, set(template or ())))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"]
