@@ -5,8 +5,8 @@
    other places as anchors. Neighbouring phrases mostly share them, so an item has a few anchor pairs.
 3. Store the postings (term, document, positions) of the anchor terms of all documents as a table.
 4. Intersect the offset-adjusted lists: the postings of both anchors, each less the anchor's place in
-   the item, have the alignments of item and document in common. Alignments within ``slop`` of each
-   other are proximity matches.
+   the item, have the alignments of item and document in common. With ``slop``, alignments within
+   ``slop`` of each other are candidates of proximity matches.
 5. Every document goes over its own alignments once more and compares whole words, so hits are exact.
 
 The test items are the query set: they are read in blocks of ``block_bytes``, each small enough to be
@@ -23,6 +23,7 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import combinations
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -70,10 +71,11 @@ def term_counts(docs: DataFrame, terms: set[bytes]) -> dict[bytes, int]:
     return {bytes(r["term"]): r["n"] for r in rows}
 
 
-def anchors(block: list[tuple[str, list[bytes]]], counts: dict[bytes, int], window: int = WINDOW) -> list[tuple[int, bytes, int, bytes | None, int]]:
+def anchors(block: list[tuple[str, list[bytes]]], counts: dict[bytes, int], window: int = WINDOW, slop: int = 0) -> list[tuple[int, bytes, int, bytes | None, int]]:
     """(item, rarest term, its place, second anchor or None, its place) for the phrases of a block.
 
-    Phrases with a term that no document has cannot occur and get no anchors.
+    Phrases with a term that no document has cannot occur and get no anchors. With ``slop``, pairs of the
+    ``slop`` + 2 rarest places whose terms do occur are added: a near phrase may lack any ``slop`` words.
     """
     out = set()
     for k, (_, words) in enumerate(block):
@@ -81,6 +83,10 @@ def anchors(block: list[tuple[str, list[bytes]]], counts: dict[bytes, int], wind
         df = [counts.get(w, 0) for w in words]
         for at in range(len(words) - n + 1):
             order = sorted(range(at, at + n), key=lambda p: (df[p], words[p], p))
+            if slop:  # of slop + 2 places, two are left when up to slop words are
+                there = [p for p in order if df[p]]
+                if len(there) >= max(2, n - slop):
+                    out.update((k, words[p], p, words[q], q) for p, q in combinations(there[: slop + 2], 2))
             if df[order[0]] == 0:
                 continue
             p = order[0]
@@ -156,10 +162,17 @@ def phrase_hits(words: list[bytes], item: list[bytes], delta: int, window: int)
     return out
 
 
+def is_near(words: list[bytes], item: list[bytes], delta: int, window: int, slop: int) -> bool:
+    """Some phrase of ``item`` placed at ``delta`` has all but ``slop`` words, two at least, within ``slop`` words of their places."""
+    n = min(window, len(item))
+    there = [w in words[max(0, p + delta - slop) : max(0, p + delta + slop + 1)] for p, w in enumerate(item)]
+    return any(sum(there[at : at + n]) >= max(2, n - slop) for at in range(len(item) - n + 1))
+
+
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, slop: int = 0, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document: n_words, n_hit, n_items, items_sha256, items, n_near, contaminated.
 
-    ``n_near``: items with a proximity match within ``slop`` words and no exact phrase (0 if slop is 0).
+    ``n_near``: items with a proximity match (``is_near``) and no exact phrase (0 if slop is 0).
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
@@ -167,7 +180,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, slop:
     blocks, parts, n = [], [], 0
     for block in _blocks(items, block_bytes):
         counts = term_counts(docs, {w for _, words in block for w in words})
-        pairs = anchors(block, counts, window)
+        pairs = anchors(block, counts, window, slop)
         if pairs:
             table, path = materialize(postings(docs, {t for a in pairs for t in (a[1], a[3]) if t is not None}), "postings")
             rows = spark.createDataFrame([(k + n, t1, p1, t2, p2) for k, t1, p1, t2, p2 in pairs], "item int, term1 binary, p1 int, term2 binary, p2 int")
@@ -197,7 +210,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, slop:
                         there.add(name)
                         for a, b in spans:
                             hit.update(range(a, b))
-                    elif slop:
+                    elif slop and name not in close and is_near(words, item, f["delta"], window, slop):
                         close.add(name)
                 n_words.append(len(words))
                 n_hit.append(len(hit))

@@ -11,6 +11,9 @@ from trustloom.llm.oracles import ORACLE
 
 __all__ = ["ORACLE", "QUERIES", "TOXIC_GRADES"]
 
+#: Words by which the anchors of a proximity match may be off.
+SLOP = 2
+
 #: Severity grades made of binary toxicity labels.
 TOXIC_GRADES = 3
 
@@ -59,6 +62,12 @@ def op9_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.decontaminate(docs, items).drop("items", "n_near")
 
 
+def op9_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``op9_positional_index``, with the items that are near; its SQL has exact matches only."""
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontam.decontaminate(docs, items, slop=SLOP).drop("items")
+
+
 def op10_chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "<|im_end|><|im_start|>assistant ok"
@@ -76,5 +85,6 @@ QUERIES = {
     "op7_odd_sketches": op7_odd_sketches,
     "op8_site_templates": op8_site_templates,
     "op9_positional_index": op9_positional_index,
+    "op9_proximity": op9_proximity,
     "op10_chat_round_trip": op10_chat_round_trip,
 }
