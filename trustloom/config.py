@@ -97,6 +97,8 @@ class Settings:
     max_field: int = 50_000
     max_url: int = 2048
     blog_max_words: int = 8000
+    blog_body_words: int = 80
+    preview_words: int = 10
     blog_total: int = 3
     blog_per_domain: int = 2
     youtube_total: int = 2
@@ -105,6 +107,10 @@ class Settings:
     pubmed_candidates: int = 20
     min_words: dict = field(default_factory=lambda: {"blog": 40, "youtube": 50, "pubmed": 30})
     video_min_seconds: int = 120
+    transcript_languages: tuple = ("en", "en-US", "en-GB")
+    backoff_base: float = 1.6
+    backoff_jitter: float = 0.35
+    backoff_floor: float = 0.10
     extractor_min_chars: int = 100
 
     def __post_init__(self) -> None:

@@ -29,8 +29,8 @@ def with_features(df: DataFrame, text_col: str = "content", frequencies: bool =
     df = once(df, _content_words=content_words(F.col("_words")))
     if not frequencies:
         return df
-    pairs = F.array_sort(F.transform("_content_words", lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
-    df = once(df, _sorted=F.array_sort("_words"), _pairs=pairs)
+    pairs = F.sort_array(F.transform("_content_words", lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
+    df = once(df, _sorted=F.sort_array("_words"), _pairs=pairs)
     df = once(df, _ends=stats.run_ends(F.col("_sorted")), _cends=stats.run_ends(F.transform("_pairs", lambda p: p["w"])))
     df = once(df, _counts=stats.run_counts(F.col("_ends")), _ccounts=stats.run_counts(F.col("_cends")), _top=stats.top_of(F.col("_pairs"), F.col("_cends")))
     return df.drop("_sorted", "_pairs", "_ends", "_cends")

@@ -180,22 +180,27 @@ def engagement(views: Column, likes: Column, source_type: Column, s: Settings =
 
 def decoded(text: Column) -> Column:
     """Percent escapes resolved; a text with a broken escape stays as it is."""
-    return F.coalesce(F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B"))), text)
+    return F.when(F.contains(text, F.lit("%")), F.coalesce(F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B"))), text)).otherwise(text)
 
 
 def adversarial(text: Column, s: Settings = DEFAULT) -> Column:
     """Over ``with_features`` columns: hidden characters, injected instructions, repetition."""
-    hidden = F.length(text) - F.length(F.translate(text, L.BIDI + L.ZERO_WIDTH, ""))
-    plain = decoded(text)
-    hits = sum((F.when(plain.rlike(p), 1).otherwise(0) for p in L.INJECTION), F.lit(0))
-    rep = stats.ngram_repetition(F.col("_words"), s.ngram)
-    parts = (
-        F.greatest(F.lit(0.0), 1 - hidden / s.bidi_saturation)
-        + F.greatest(F.lit(0.0), 1 - hits / s.injection_saturation)
-        + F.when(rep > s.repetition, F.greatest(F.lit(0.0), 1 - rep)).otherwise(1.0)
+    facts = F.struct(
+        F.regexp_count(text, F.lit(f"[{L.BIDI}{L.ZERO_WIDTH}]")).alias("hidden"),
+        stats.let(decoded(text), lambda plain: sum((F.when(plain.rlike(p), 1).otherwise(0) for p in L.INJECTION), F.lit(0))).alias("hits"),
+        stats.ngram_repetition(F.col("_words"), s.ngram).alias("rep"),
     )
+
+    def judged(f: Column) -> Column:
+        parts = (
+            F.greatest(F.lit(0.0), 1 - f["hidden"] / s.bidi_saturation)
+            + F.greatest(F.lit(0.0), 1 - f["hits"] / s.injection_saturation)
+            + F.when(f["rep"] > s.repetition, F.greatest(F.lit(0.0), 1 - f["rep"])).otherwise(1.0)
+        )
+        return signal(F.round(parts / 3, 4), 0.85, bidi_chars_found=f["hidden"], injection_patterns_hit=f["hits"], repetition_ratio=F.round(f["rep"], 3), ngram_size=s.ngram)
+
     return (
         F.when(F.length(text) == 0, signal(1.0, 0.0, reason="empty_content"))
         .when(F.length(text) < s.thin_chars, signal(0.90, 0.30, reason="thin_content"))
-        .otherwise(signal(F.round(parts / 3, 4), 0.85, bidi_chars_found=hidden, injection_patterns_hit=hits, repetition_ratio=F.round(rep, 3), ngram_size=s.ngram))
+        .otherwise(stats.let(facts, judged))
     )

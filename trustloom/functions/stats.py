@@ -1,4 +1,7 @@
-"""Word statistics of a text as higher-order expressions: no explode, no shuffle."""
+"""Word statistics of a text as higher-order expressions: no explode, no shuffle.
+
+Arrays are sorted by ``sort_array``; ``array_sort`` would call a lambda for every comparison.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +9,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it: a lambda binds it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def run_ends(sorted_items: Column) -> Column:
     """Positions (from 1) at which a run of equal items ends. Pass a column: lambdas would sort again."""
     after = F.slice(sorted_items, F.lit(2), F.greatest(F.size(sorted_items) - 1, F.lit(0)))
@@ -16,12 +24,18 @@ def run_ends(sorted_items: Column) -> Column:
 def run_counts(ends: Column) -> Column:
     """Ascending lengths of the runs."""
     runs = F.zip_with(ends, F.concat(F.array(F.lit(0)), ends), lambda end, before: end - before)
-    return F.array_sort(F.filter(runs, lambda n: n.isNotNull()))
+    return F.sort_array(F.filter(runs, lambda n: n.isNotNull()))
 
 
 def counts(items: Column) -> Column:
-    """Ascending counts of the distinct items."""
-    return run_counts(run_ends(F.array_sort(items)))
+    """Ascending counts of the distinct items. Pass few items: a lambda sorts them again for each."""
+    return run_counts(run_ends(F.sort_array(items)))
+
+
+def some_run(sorted_items: Column, least: Column) -> Column:
+    """Whether some item stands ``least`` times or more in a sorted array: equal at that distance."""
+    later = F.slice(sorted_items, least, F.greatest(F.size(sorted_items) - least + 1, F.lit(0)))
+    return F.exists(F.zip_with(sorted_items, later, lambda a, b: a == b), lambda same: F.coalesce(same, F.lit(False)))
 
 
 def top_of(sorted_pairs: Column, ends: Column) -> Column:

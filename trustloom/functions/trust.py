@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from trustloom.config import DEFAULT, SIGNALS, WEIGHTS, Settings
 from trustloom.functions import anomaly, features, signals
 from trustloom.functions import lexicons as L
+from trustloom.functions.language import Detector, by_function_words, detect
 from trustloom.functions.text import age_days, domain_tier, netloc, parse_date
 
 
@@ -40,7 +41,7 @@ def penalty(df: DataFrame, s: Settings = DEFAULT) -> DataFrame:
         product = product * F.when(cond, factor).otherwise(1.0)
     reasons = F.concat(F.array_compact(F.array(*[F.when(c, r) for c, _, r in rules])), F.transform("_p.others", lambda f: F.concat(F.lit("anomaly:"), f)))
     df = df.withColumns({"abuse_penalty": F.round(F.greatest(product, F.lit(s.abuse_floor)), 4), "abuse_reasons": reasons})
-    return df.drop("_p.health", "_seo", "_conspiracy", "_stuffed", "_share", "_limit", "_age", "_p.others")
+    return df.drop("_p")
 
 
 def weight_array(source_type: Column) -> Column:
@@ -56,17 +57,22 @@ def fuse(scores: Column, confidence: Column, weights: Column) -> Column:
     return F.when(low > 1e-9, top / low).otherwise(0.5)
 
 
-def score(records: DataFrame, s: Settings = DEFAULT) -> DataFrame:
+def score(records: DataFrame, s: Settings = DEFAULT, language: Detector | None = by_function_words) -> DataFrame:
     """Adds anomaly_flags (unless there), sub_scores, confidence, weights, evidence, abuse_*, raw_score, penalized_score.
 
     Needs author, source_url, source_type, published_date, content, citations, view_count, like_count,
-    duration_sec, pmid, doi, journal; no shuffle.
+    duration_sec, pmid, doi, journal; no shuffle. Videos with a transcript (has_transcript, optional) get
+    the flags of spoken texts too.
     """
     kind = F.col("source_type")
     df = records.withColumns({"source_type": F.when(kind.isin(*WEIGHTS), kind).otherwise("blog"), "content": F.coalesce("content", F.lit(""))})
     df = features.with_features(df)
     if "anomaly_flags" not in records.columns:
-        df = features.once(df, anomaly_flags=anomaly.flags(F.col("content"), kind, s))
+        found = anomaly.flags(F.col("content"), kind, s)
+        if "has_transcript" in records.columns:
+            spoken = F.coalesce(F.col("has_transcript"), F.lit(False)) & (kind == "youtube")
+            found = F.concat(found, F.when(spoken, anomaly.transcript_flags(F.col("content"), lambda x: detect(x, language), s)).otherwise(F.array().cast("array<string>")))
+        df = features.once(df, anomaly_flags=found)
     url, text = F.col("source_url"), F.col("content")
     df = features.once(
         df,

@@ -15,8 +15,8 @@ REQUIRED = (
 ).split()
 
 
-def canonical(df: DataFrame, ingested_at: str, s: Settings = DEFAULT) -> DataFrame:
-    """The published columns with their defaults, and source-specific ones (null for other sources)."""
+def canonical(df: DataFrame, ingested_at: str, s: Settings = DEFAULT, extra: tuple[str, ...] = ()) -> DataFrame:
+    """The published columns with their defaults, source-specific ones (null for other sources), and those of ``extra``."""
     has = set(df.columns)
     take = lambda name, kind, default: F.coalesce(F.col(name), default) if name in has else default  # noqa: E731, ARG005
     kind, url = take("source_type", "string", F.lit("blog")), take("source_url", "string", F.lit(""))
@@ -50,7 +50,7 @@ def canonical(df: DataFrame, ingested_at: str, s: Settings = DEFAULT) -> DataFra
     for name, (source, t, default) in only.items():
         value = F.coalesce(F.col(name).cast(t), F.lit(default).cast(t)) if name in has else F.lit(default).cast(t)
         out[name] = F.when(kind == source, value)
-    rest = [c for c in ("topic", "topic_idx", "seq") if c in has]
+    rest = [c for c in ("topic", "topic_idx", "seq", *extra) if c in has]
     return df.select(*rest, *[v.alias(k) for k, v in out.items()])
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from trustloom.config import DEFAULT, Settings
 from trustloom.functions import lexicons as L
+from trustloom.functions.stats import let
 from trustloom.functions.text import diversity_key, domain_tier, listed, netloc, words
 
 
@@ -57,12 +58,18 @@ def by_tier(url: Column, *ties) -> list:
 
 
 def video_rank(views: Column, text: Column, terms: Column, transcript: Column, duration: Column) -> Column:
-    """log10(views)/6, times term density in [0.05, 1], times bonuses for a transcript and for length."""
-    w = words(F.lower(text))
-    hits = F.size(F.filter(w, lambda x: F.array_contains(F.transform(terms, F.lower), x)))
-    density = F.greatest(F.least(hits / F.greatest(F.size(w), F.lit(1)) * 100, F.lit(1.0)), F.lit(0.05))
+    """log10(views)/6, times term density in [0.05, 1], times bonuses for a transcript and for length.
+
+    ``text`` is title and description; terms of several words never equal one of its words.
+    """
+
+    def density(w: Column) -> Column:
+        hits = F.aggregate(terms, F.lit(0), lambda a, t: a + F.size(F.filter(w, lambda x: x == F.lower(t))))
+        return F.greatest(F.least(hits / F.greatest(F.size(w), F.lit(1)) * 100, F.lit(1.0)), F.lit(0.05))
+
     reach = F.log10(F.greatest(F.coalesce(views, F.lit(0)), F.lit(1)).cast("double")) / 6.0
-    return reach * density * F.when(F.coalesce(transcript, F.lit("")) != "", 1.2).otherwise(1.0) * F.when(F.coalesce(duration, F.lit(0)) > 300, 1.1).otherwise(1.0)
+    bonus = F.when(F.coalesce(transcript, F.lit("")) != "", 1.2).otherwise(1.0) * F.when(F.coalesce(duration, F.lit(0)) > 300, 1.1).otherwise(1.0)
+    return reach * let(words(F.lower(text)), density) * bonus
 
 
 def long_enough(duration: Column, least: int = DEFAULT.video_min_seconds) -> Column:
@@ -72,25 +79,36 @@ def long_enough(duration: Column, least: int = DEFAULT.video_min_seconds) -> Col
 
 
 def two_phase_top(candidates: DataFrame, transcripts: DataFrame, k: int = DEFAULT.youtube_total, factor: int = 3) -> DataFrame:
-    """Rank, fetch transcripts only for the best k * factor, rank again. ``terms`` is a column."""
-    rank = lambda t: video_rank(F.col("view_count"), F.concat_ws(" ", "title", "description", t), F.col("terms"), t, F.col("duration_sec"))
+    """By topic: rank, take transcripts only for the best k * factor, rank again; adds transcript and rank.
+
+    Candidates: topic, seq (their order, which settles ties), video_id, title, description, terms,
+    view_count, duration_sec. Short clips go. All candidates come back; the final cut is the caller's,
+    after its filters.
+    """
     none = F.lit("")
-    first = candidates.where(long_enough(F.col("duration_sec"))).withColumn("_r", rank(none)).orderBy(F.desc("_r"), "video_id").limit(k * factor)
-    second = first.join(transcripts.select("video_id", "transcript"), "video_id", "left").withColumn("transcript", F.coalesce("transcript", none))
-    return second.withColumn("rank", rank(F.col("transcript"))).orderBy(F.desc("rank"), "video_id").limit(k).drop("_r")
+    rank = lambda t: video_rank(F.col("view_count"), F.concat(F.coalesce("title", none), F.lit(" "), F.coalesce("description", none)), F.col("terms"), t, F.col("duration_sec"))
+    first = candidates.where(long_enough(F.col("duration_sec"))).withColumn("_r", rank(none))
+    first = first.withColumn("_n", F.row_number().over(W.partitionBy("topic").orderBy(F.desc("_r"), "seq")))
+    second = first.join(transcripts.select("video_id", F.col("transcript").alias("_t")), "video_id", "left")
+    second = second.withColumn("transcript", F.when(F.col("_n") <= k * factor, F.coalesce("_t", none)).otherwise(none))
+    return second.withColumn("rank", rank(F.col("transcript"))).drop("_r", "_n", "_t")
 
 
-def journal_score(journal: Column, pubdate: Column) -> Column:
-    """2 for a listed journal (as a part of the name), plus a quarter for each year after 2015."""
+def is_listed(journal: Column) -> Column:
+    """Whether the name of a journal that ranks first is a part of the given one."""
     name = F.lower(F.coalesce(journal, F.lit("")))
-    listed = F.exists(listed(L.JOURNALS), lambda j: F.contains(name, j))
+    return F.exists(listed(L.JOURNALS), lambda j: F.contains(name, j))
+
+
+def journal_score(journal: Column, pubdate: Column) -> Column:
+    """2 for a listed journal, plus a quarter for each year after 2015."""
     year = F.substring(pubdate, 1, 4).try_cast("int")
-    return F.when(listed, 2.0).otherwise(0.0) + F.greatest(F.lit(0.0), F.coalesce((year - 2015) * 0.25, F.lit(0.0)))
+    return F.when(is_listed(journal), 2.0).otherwise(0.0) + F.greatest(F.lit(0.0), F.coalesce((year - 2015) * 0.25, F.lit(0.0)))
 
 
 def citation_proxy(journal: Column) -> Column:
-    listed = journal_score(journal, F.lit(None).cast("string"))
-    return F.greatest(F.lit(5), (listed * 55).cast("int"))
+    """Citations to assume, as summaries give none: 110 for a listed journal, else 5."""
+    return F.when(is_listed(journal), 110).otherwise(5)
 
 
 def top_k(df: DataFrame, keys: list[str], order: list, k: int) -> DataFrame:

@@ -1,8 +1,6 @@
 """Topic tags by weighted term frequency in title, first paragraph and body.
 
-The taxonomy is a parameter: (label, label_ord, keyword, boost) rows, or a list of
-(label, keywords, boost). Its keywords are counted with one pass per keyword over a text, by one
-higher-order expression over an array literal, so that the plan's size does not grow with keywords.
+The taxonomy is a parameter, a list of (label, keywords, boost); ``taxonomy_table`` gives it as rows.
 """
 
 from __future__ import annotations
@@ -13,40 +11,52 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trustloom.config import DEFAULT, Settings
+from trustloom.functions.features import once
+from trustloom.functions.lexicons import TAXONOMY
+from trustloom.functions.stats import let
 from trustloom.functions.text import words, zones
 
-#: An example taxonomy; pass your own.
-SAMPLE = [
-    ("programming", ("code", "compiler", "software engineering"), 1.0),
-    ("medicine", ("patient", "clinical trial", "therapy"), 1.1),
-    ("energy", ("solar", "battery", "power grid"), 0.9),
-]
 
 
-def taxonomy_table(spark, taxonomy=SAMPLE) -> DataFrame:
+def taxonomy_table(spark, taxonomy=TAXONOMY) -> DataFrame:
     return spark.createDataFrame([(label, i, k, float(b)) for i, (label, ks, b) in enumerate(taxonomy) for k in ks], "label string, label_ord int, keyword string, boost double")
 
 
-def tags(text: Column, taxonomy=SAMPLE, s: Settings = DEFAULT) -> Column:
-    """Up to ``max_tags`` labels, best first, equals in taxonomy order; ["general"] for none."""
-    z = zones(F.coalesce(text, F.lit("")))
-    parts = F.array(
-        *[F.struct(F.lower(z[name]).alias("t"), F.size(words(z[name])).alias("n"), F.lit(w).alias("w")) for name, w in zip(("title", "first", "body"), s.tag_weights, strict=True)]
-    )
-    labels = F.array(
-        *[
-            F.struct(F.lit(label).alias("label"), F.lit(i).alias("ord"), F.lit(float(boost)).alias("boost"), F.array(*[F.lit(rf"(?U)\b{_quoted(k)}\b") for k in keys]).alias("keys"))
-            for i, (label, keys, boost) in enumerate(taxonomy)
-        ]
-    )
-
-    def raw(label: Column, zs: Column) -> Column:
-        one = lambda p: F.aggregate(label["keys"], F.lit(0), lambda a, k: a + F.regexp_count(p["t"], k))
-        return F.aggregate(F.filter(zs, lambda p: p["n"] > 0), F.lit(0.0), lambda a, p: a + one(p) / p["n"] * p["w"])
-
-    scored = F.filter(F.transform(labels, lambda x: F.struct((-raw(x, parts) * x["boost"]).alias("neg"), x["ord"].alias("ord"), x["label"].alias("label"))), lambda x: x["neg"] < 0)
-    best = F.transform(F.slice(F.array_sort(scored), 1, s.max_tags), lambda x: x["label"])
-    return F.when(F.size(best) == 0, F.array(F.lit("general"))).otherwise(best)
+def zone_table(text: Column, s: Settings = DEFAULT) -> Column:
+    """(t, n, w) of the zones that have words: lower-case text, word count, weight."""
+
+    def rows(z: Column) -> Column:
+        each = [F.struct(F.lower(z[name]).alias("t"), F.size(words(z[name])).alias("n"), F.lit(w).alias("w")) for name, w in zip(("title", "first", "body"), s.tag_weights, strict=True)]
+        return F.filter(F.array(*each), lambda p: p["n"] > 0)
+
+    return let(zones(F.coalesce(text, F.lit(""))), rows)
+
+
+def _zone_score(keys: tuple[str, ...]):
+    def found(z: Column, key: str) -> Column:
+        key = key.lower()
+        return F.when(F.contains(z["t"], F.lit(key)), F.regexp_count(z["t"], F.lit(rf"(?U)\b{_quoted(key)}\b"))).otherwise(0)
+
+    def add(total: Column, z: Column) -> Column:
+        return total + sum((found(z, k) for k in keys), F.lit(0)) / z["n"] * z["w"]
+
+    return add
+
+
+def with_tags(df: DataFrame, text_col: str = "text", out_col: str = "topic_tags", taxonomy=TAXONOMY, s: Settings = DEFAULT) -> DataFrame:
+    """Adds up to ``max_tags`` labels, best first, equals in taxonomy order; ["general"] for none.
+
+    Zones are cut and counted once a row. A keyword is looked for as a fixed string first, and only a
+    zone that has it is searched for whole words.
+    """
+    df = once(df, _z=zone_table(F.col(text_col), s))
+    scored = []
+    for i, (label, keys, boost) in enumerate(taxonomy):
+        raw = F.aggregate("_z", F.lit(0.0), _zone_score(keys))
+        scored.append(F.struct((-raw * F.lit(float(boost))).alias("neg"), F.lit(i).alias("ord"), F.lit(label).alias("label")))
+    df = once(df, _t=F.slice(F.sort_array(F.filter(F.array(*scored), lambda x: x["neg"] < 0)), 1, s.max_tags))
+    best = F.transform("_t", lambda x: x["label"])
+    return df.withColumn(out_col, F.when(F.size("_t") == 0, F.array(F.lit("general"))).otherwise(best)).drop("_z", "_t")
 
 
 def _quoted(keyword: str) -> str:

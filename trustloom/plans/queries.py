@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from trustloom.config import DEFAULT, SIGNALS, WEIGHTS
@@ -10,40 +11,11 @@ from trustloom.functions import anomaly, chunking, features, signals, stats, tex
 from trustloom.functions import lexicons as L
 from trustloom.operators import priors, publishing, ranking, relevance, tagging
 from trustloom.plans import pipeline
+from trustloom.plans.registry import WHITE, WORD, query, split_sql, strip_sql, t, texts, values
 from trustloom.sources import feeds, html, sinks
 
-QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
 AS_OF = DEFAULT.as_of
 
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE[f.__name__] = sql
-        return f
-
-    return add
-
-
-def t(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
-
-
-def values(spark: SparkSession, cols: str, rows: list[tuple]) -> tuple[DataFrame, str]:
-    """The same literal rows for Spark and, as text, for SQL."""
-
-    def lit(v) -> str:
-        if v is None:
-            return "NULL"
-        return "'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v)
-
-    names = [c.split()[0] for c in cols.split(", ")]
-    sql = f"(SELECT * FROM (VALUES {', '.join('(' + ', '.join(lit(v) for v in r) + ')' for r in rows)}) AS v({', '.join(names)}))"
-    return spark.createDataFrame(rows, cols) if spark else None, sql
-
-
 #: SQL text of the shared parts.
 _TOK = "list_filter(string_split_regex(lower(text), '\\s+'), lambda w: w <> '')"
 _STOP = "[" + ", ".join(f"'{w}'" for w in L.STOP_WORDS) + "]"
@@ -51,25 +23,17 @@ _CONTENT = f"list_filter(w, lambda x: regexp_full_match(x, '\\p{{L}}+') AND NOT
 
 
 def _featured(spark, sf):
-    return features.with_features(t(spark, sf, "documents").select("doc_id", F.col("text").alias("content")))
+    return features.with_features(texts(spark, sf, "documents", "doc_id", "text").withColumnRenamed("text", "content"))
 
 
-def _ascii_english(spark, sf):
-    return t(spark, sf, "documents").where((F.col("lang") == "en") & F.col("text").rlike(r"\A[\x00-\x7F]*\z"))
-
-
-#: White space as in ``text.SPACE`` and word characters as in Java's ``(?U)\w``, for RE2, whose own are ASCII only.
-_WHITE = r"[\t-\r \x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-_WORD = r"\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}\x{24B6}-\x{24E9}\x{200C}\x{200D}"
-_words_sql = lambda x: f"string_split_regex({x}, '[^{_WORD}]+')"
-_n_sql = lambda x: f"len(list_filter(string_split_regex({x}, '{_WHITE}+'), lambda w: w <> ''))"
-_strip_sql = lambda x: f"regexp_replace({x}, '^{_WHITE}+|{_WHITE}+$', '', 'g')"
+_words_sql = lambda x: f"string_split_regex({x}, '[^{WORD}]+')"
+_n_sql = lambda x: f"len({split_sql(x)})"
 
 
 def _count_sql(x: str, key: str) -> str:
     """How often a word or phrase stands in a text: each other character is doubled, so that no two matches need the same one."""
-    double = lambda v: f"regexp_replace({v}, '([^{_WORD}])', '\\1\\1', 'g')"
-    return f"len(regexp_extract_all({double(x)}, '(?:^|[^{_WORD}])' || {double(chr(39) + key + chr(39))} || '(?:$|[^{_WORD}])'))"
+    double = lambda v: f"regexp_replace({v}, '([^{WORD}])', '\\1\\1', 'g')"
+    return f"len(regexp_extract_all({double(x)}, '(?:^|[^{WORD}])' || {double(chr(39) + key + chr(39))} || '(?:$|[^{WORD}])'))"
 
 
 def _caps(docs: DataFrame) -> DataFrame:
@@ -87,18 +51,14 @@ r AS (SELECT doc_id, n, row_number() OVER (PARTITION BY doc_id ORDER BY n) AS i,
 gi AS (SELECT doc_id, CASE WHEN any_value(k) = 1 THEN 1.0 ELSE 2.0 * sum(i * n) / (any_value(k) * any_value(s)) - (any_value(k) + 1.0) / any_value(k) END AS gini FROM r GROUP BY doc_id),
 j AS (SELECT c.doc_id, len(w) AS n, CASE WHEN len(w) > 0 THEN len(list_distinct(w))::DOUBLE / len(w) END AS ttr, gini FROM c LEFT JOIN gi USING (doc_id)),
 s AS (SELECT doc_id, n, ttr, gini, CASE WHEN n < 30 THEN 0.0 ELSE least(0.3 * least(n / 2000.0, 1.0) + 0.4 * ttr + 0.3 * coalesce(greatest(0.0, 1 - gini), 0.5), 1.0) END AS score,
-CASE WHEN n = 0 THEN 0.1 WHEN n >= 300 THEN 0.88 WHEN n >= 100 THEN 0.65 + least(1.0, (n - 100) / 200.0) * 0.23 WHEN n >= 30 THEN 0.40 + least(1.0, (n - 30) / 70.0) * 0.25 ELSE 0.10 + least(1.0, n / 30.0) * 0.30 END AS conf FROM j)
-SELECT doc_id, n::INT AS word_count, round(ttr, 5) AS ttr, round(gini, 5) AS gini, round(score, 3) AS score, round(conf, 3) AS confidence FROM s""")
+CASE WHEN n = 0 THEN 0.1 WHEN n >= 300 THEN 0.88 WHEN n >= 100 THEN 0.65::DOUBLE + (n - 100) / 200::DOUBLE * (0.88::DOUBLE - 0.65::DOUBLE) WHEN n >= 30 THEN 0.40::DOUBLE + (n - 30) / 70::DOUBLE * (0.65::DOUBLE - 0.40::DOUBLE) ELSE 0.10::DOUBLE + n / 30::DOUBLE * (0.40::DOUBLE - 0.10::DOUBLE) END AS conf FROM j)
+SELECT doc_id, n::INT AS word_count, CASE WHEN n >= 30 THEN round(ttr, 3) END AS ttr, CASE WHEN n >= 30 THEN round(coalesce(gini, 0), 3) END AS gini, round(score::DOUBLE::VARCHAR::DECIMAL(20, 17), 4)::DOUBLE AS score, round(conf::DOUBLE::VARCHAR::DECIMAL(20, 17), 4)::DOUBLE AS confidence FROM s""")
 def content_depth(spark, sf):
-    df = _featured(spark, sf)
-    n = F.col("_n")
-    gini = F.when(F.size("_content_words") > 0, stats.gini(F.col("_ccounts")))
-    ttr = F.when(n > 0, F.size("_counts") / n)
-    score = F.when(n < 30, 0.0).otherwise(F.least(0.3 * F.least(n / 2000, F.lit(1.0)) + 0.4 * ttr + 0.3 * F.coalesce(F.greatest(F.lit(0.0), 1 - gini), F.lit(0.5)), F.lit(1.0)))
-    ladder = (
-        F.when(n >= 300, 0.88).when(n >= 100, 0.65 + F.least(F.lit(1.0), (n - 100) / 200) * 0.23).when(n >= 30, 0.40 + F.least(F.lit(1.0), (n - 30) / 70) * 0.25).when(n > 0, 0.10 + F.least(F.lit(1.0), n / 30) * 0.30).otherwise(0.1)
+    x = signals.depth()
+    part = lambda name: F.get_json_object(x["evidence"], f"$.{name}").cast("double")
+    return _featured(spark, sf).select(
+        "doc_id", F.col("_n").alias("word_count"), part("ttr").alias("ttr"), part("gini").alias("gini"), x["score"].alias("score"), x["confidence"].alias("confidence")
     )
-    return df.select("doc_id", n.alias("word_count"), F.round(ttr, 5).alias("ttr"), F.round(gini, 5).alias("gini"), F.round(score, 3).alias("score"), F.round(ladder, 3).alias("confidence"))
 
 
 @query(f"""
@@ -106,7 +66,7 @@ WITH d AS (SELECT doc_id, {_TOK} AS w FROM documents), g AS (SELECT doc_id, x, c
 e AS (SELECT doc_id, sum(n) AS s, sum(n * log2(n)) AS l FROM g GROUP BY doc_id)
 SELECT doc_id, s::INT AS words, round(CASE WHEN s < 80 THEN 99.0 ELSE log2(s) - l / s END, 5) AS entropy FROM e""")
 def word_entropy(spark, sf):
-    df = features.once(t(spark, sf, "documents").select("doc_id", "text"), _sorted=F.array_sort(text.words(F.lower(F.col("text")))))
+    df = features.once(texts(spark, sf, "documents", "doc_id", "text"), _sorted=F.sort_array(text.words(F.lower(F.col("text")))))
     df = features.once(df, _counts=stats.run_counts(stats.run_ends(F.col("_sorted")))).withColumn("_n", F.size("_sorted")).where("_n > 0")
     h = F.when(F.col("_n") < DEFAULT.entropy_min_words, DEFAULT.entropy_skip).otherwise(stats.entropy(F.col("_counts"), F.col("_n")))
     return df.select("doc_id", F.col("_n").alias("words"), F.round(h, 5).alias("entropy"))
@@ -127,20 +87,11 @@ def keyword_stuffing(spark, sf):
     )
 
 
-@query("""
-SELECT doc_id, len(regexp_extract_all(text, '\\b[A-Z]{4,}\\b'))::INT AS shouted,
-round(len(regexp_extract_all(text, '\\b[A-Z]{4,}\\b')) / greatest(len(list_filter(string_split_regex(text, '\\s+'), lambda w: w <> '')), 1)::DOUBLE, 5) AS density
-FROM documents WHERE lang = 'en' AND regexp_full_match(text, '[\\x00-\\x7F]*')""")
-def caps_density(spark, sf):
-    return _caps(_ascii_english(spark, sf))
-
-
 @query(f"""
 SELECT doc_id, len(list_filter({_words_sql("text")}, lambda w: regexp_full_match(w, '[A-Z]{{4,}}')))::INT AS shouted,
 round(len(list_filter({_words_sql("text")}, lambda w: regexp_full_match(w, '[A-Z]{{4,}}'))) / greatest({_n_sql("text")}, 1)::DOUBLE, 5) AS density FROM documents""")
-def caps_density_whole(spark, sf):
-    """All documents in all languages; ``caps_density`` is over English in ASCII."""
-    return _caps(t(spark, sf, "documents"))
+def caps_density(spark, sf):
+    return _caps(texts(spark, sf, "documents"))
 
 
 @query(f"""
@@ -148,7 +99,7 @@ WITH d AS (SELECT doc_id, {_TOK} AS w FROM documents),
 g AS (SELECT doc_id, len(w) AS n, CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i+3], chr(1))) ELSE [] END AS g FROM d)
 SELECT doc_id, round(CASE WHEN n < 4 THEN 0.0 ELSE 1 - len(list_distinct(g)) / len(g)::DOUBLE END, 5) AS repetition FROM g""")
 def ngram_repetition(spark, sf):
-    df = features.once(t(spark, sf, "documents").select("doc_id", "text"), _words=text.words(F.lower(F.col("text"))))
+    df = features.once(texts(spark, sf, "documents", "doc_id", "text"), _words=text.words(F.lower(F.col("text"))))
     return df.select("doc_id", F.round(stats.ngram_repetition(F.col("_words"), 4), 5).alias("repetition"))
 
 
@@ -157,7 +108,7 @@ WITH p AS (SELECT doc_id, list_transform(list_filter(string_split(text, chr(10))
 SELECT doc_id, len(s)::INT AS paragraphs, round(list_avg(s), 4) AS mean_words,
 len(s) >= 5 AND list_avg(s) > 10 AND sqrt(greatest(list_avg(list_transform(s, lambda x: x * x)) - list_avg(s) * list_avg(s), 0)) / list_avg(s) < 0.08 AS templated FROM p WHERE len(s) > 0""")
 def templated_paragraphs(spark, sf):
-    df = t(spark, sf, "documents").withColumn("_s", anomaly.paragraph_sizes(F.col("text"), "\n")).where(F.size("_s") > 0)
+    df = texts(spark, sf, "documents").withColumn("_s", anomaly.paragraph_sizes(F.col("text"), "\n")).where(F.size("_s") > 0)
     mean = F.aggregate("_s", F.lit(0.0), lambda a, x: a + x) / F.size("_s")
     return df.select("doc_id", F.size("_s").alias("paragraphs"), F.round(mean, 4).alias("mean_words"), anomaly.templated(F.col("_s")).alias("templated"))
 
@@ -180,8 +131,9 @@ _ANOMALY_ROWS = [
     (7, "blog", "By 2099 the forecast of this article will be known to be wrong, says the year 2031 report."),
     (8, "blog", "cafÃ cafÃ cafÃ cafÃ cafÃ cafÃ cafÃ is how mojibake looks in a page"),
     (9, "pubmed", ""),
+    (10, "blog", "river stone cloud wind. " * 25),
 ]
-_FLAG_SQL = "".join(f"({i}, '{f}'), " for i, f in [(1, "thin_content"), (2, "thin_content;promotional_language:3_hits"), (3, "promotional_language:4_hits"), (4, "high_link_density"), (5, ""), (6, "excessive_caps"), (7, "future_year_reference:2099"), (8, "encoding_corruption:7_chars"), (9, "thin_content")])[:-2]
+_FLAG_SQL = "".join(f"({i}, '{f}'), " for i, f in [(1, "thin_content"), (2, "thin_content;promotional_language:3_hits"), (3, "promotional_language:4_hits"), (4, "high_link_density"), (5, ""), (6, "excessive_caps"), (7, "future_year_reference:2099"), (8, "encoding_corruption:7_chars"), (9, "thin_content"), (10, "low_entropy:2.00")])[:-2]
 
 
 @query(f"SELECT * FROM (VALUES {_FLAG_SQL}) AS v(id, flags)")
@@ -229,21 +181,15 @@ def record_ids(spark, sf):
     return t(spark, sf, "pages").select("page_id", text.record_id(F.lit("blog"), F.col("url")).alias("record_id"))
 
 
-@query("""
-SELECT doc_id, substr(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F]', '', 'g'), '[ \\t]+', ' ', 'g'), '\\n{3,}', chr(10) || chr(10), 'g'), '^\\s+|\\s+$', '', 'g'), 1, 200) AS cleaned FROM documents""")
-def cleaned_text(spark, sf):
-    return t(spark, sf, "documents").select("doc_id", text.clean_text(F.col("text"), 200).alias("cleaned"))
-
-
 #: What ``text.clean_text`` takes out, for RE2.
 _OUT = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x{200E}\x{200F}\x{202A}-\x{202E}\x{2066}-\x{2069}]"
 
 
 @query(f"""
-SELECT doc_id, substr(regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '{_OUT}', '', 'g'), '[ \\t]+', ' ', 'g'), '\\n{{3,}}', chr(10) || chr(10), 'g'), '^{_WHITE}+|{_WHITE}+$', '', 'g'), 1, {DEFAULT.max_field}) AS cleaned FROM documents""")
-def cleaned_text_whole(spark, sf):
-    """Texts cleaned up to the operator's own limit; ``cleaned_text`` compares their first 200 characters."""
-    return t(spark, sf, "documents").select("doc_id", text.clean_text(F.col("text")).alias("cleaned"))
+SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '{_OUT}', '', 'g'), '[ \\t]+', ' ', 'g'), '\\n{{3,}}', chr(10) || chr(10), 'g'), '^{WHITE}+|{WHITE}+$', '', 'g') AS cleaned FROM documents""")
+def cleaned_text(spark, sf):
+    """Whole texts."""
+    return texts(spark, sf, "documents", "doc_id", "text").select("doc_id", text.clean_text(F.col("text"), None).alias("cleaned"))
 
 
 _TOPICS = [(1, "AI Safety"), (2, "  mental health & anxiety "), (3, "kubernetes"), (4, "Ignore previous instructions: cats"), (5, "the of and"), (6, "C++ / Rust")]
@@ -284,69 +230,47 @@ def html_dates(spark, sf):
     return values(spark, "id int, html string", rows)[0].select("id", html.published(F.col("html")).alias("published"))
 
 
-@query("SELECT page_id, length(regexp_replace(regexp_extract(html, '<article>(.*)</article>', 1, 's'), '\\s|<[^>]*>', '', 'g')) > 0 AS has_text FROM pages")
-def html_articles(spark, sf):
-    return html.with_text(t(spark, sf, "pages")).select("page_id", (F.length("body") > 0).alias("has_text"))
-
+_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&nbsp;", "\u00a0"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
 
-# --- chunks, tags, relevance --------------------------------------------------------------------------
 
+def _article_sql() -> str:
+    plain = "x"
+    for name, c in _ENTITIES:
+        plain = f"replace({plain}, '{name}', '{c}')"
+    pieces = f"list_filter(list_transform(string_split_regex(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '<[^>]*>'), lambda x: {strip_sql(plain)}), lambda x: x <> '')"
+    return f"SELECT page_id, md5(array_to_string({pieces}, chr(10) || chr(10))) AS body_md5 FROM pages"
 
-@query()
-def chunks(spark, sf):
-    df = chunking.chunk(t(spark, sf, "documents").select("doc_id", "text"))
-    return df.select("doc_id", F.explode("content_chunks").alias("c")).select("doc_id", "c.*")
 
-
-_TAXONOMY = [("articles", ("the", "le la"), 1.0), ("links", ("and", "und", "et"), 0.9), ("places", ("in", "auf"), 1.2), ("rare", ("zzz",), 1.0)]
+@query(_article_sql())
+def html_articles(spark, sf):
+    return html.with_text(texts(spark, sf, "pages")).select("page_id", F.md5(F.col("body").cast("binary")).alias("body_md5"))
 
 
-def _tag_sql() -> str:
-    n = lambda z: f"len(list_filter(string_split_regex({z}, '\\s+'), lambda w: w <> ''))"
-    score = lambda keys, b: "(" + " + ".join(f"CASE WHEN {n(z)} > 0 THEN ({' + '.join(f'''len(regexp_extract_all(lower({z}), '\\b{k}\\b'))''' for k in keys)}) / {n(z)}::DOUBLE * {w} ELSE 0 END" for z, w in (("title", 3.0), ("first", 1.5), ("body", 1.0))) + f") * {b}"
-    parts = ", ".join(f"{{'s': {score(keys, b)}, 'o': {i}, 'l': '{label}'}}" for i, (label, keys, b) in enumerate(_TAXONOMY))
-    return f"""
-WITH a AS (SELECT doc_id, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS t FROM documents WHERE lang = 'en' AND regexp_full_match(text, '[\\x00-\\x7F]*')),
-b AS (SELECT doc_id, string_split(t, chr(10))[1] AS title, regexp_replace(CASE WHEN contains(t, chr(10)) THEN substr(t, instr(t, chr(10)) + 1) ELSE '' END, '^\\s+|\\s+$', '', 'g') AS r FROM a),
-z AS (SELECT doc_id, title, CASE WHEN contains(r, chr(10) || chr(10)) THEN substr(r, 1, instr(r, chr(10) || chr(10)) - 1) ELSE r END AS first, CASE WHEN contains(r, chr(10) || chr(10)) THEN substr(r, instr(r, chr(10) || chr(10)) + 2) ELSE '' END AS body FROM b),
-s AS (SELECT doc_id, unnest([{parts}]) AS x FROM z), p AS (SELECT doc_id, x.l AS l, round(x.s, 9) AS s, x.o AS o FROM s),
-r AS (SELECT doc_id, string_agg(l, ',' ORDER BY s DESC, o) AS tags FROM p WHERE s > 0 GROUP BY doc_id)
-SELECT doc_id, coalesce(tags, 'general') AS tags FROM z LEFT JOIN r USING (doc_id)"""
+# --- chunks, tags, relevance --------------------------------------------------------------------------
 
 
-@query(_tag_sql())
-def positional_tags(spark, sf):
-    return _tags(_ascii_english(spark, sf))
+_TAXONOMY = [("articles", ("the", "le la"), 1.0), ("links", ("and", "und", "et"), 0.9), ("places", ("in", "auf"), 1.2), ("rare", ("zzz",), 1.0)]
 
 
 def _tags(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.array_join(tagging.tags(F.col("text"), _TAXONOMY), ",").alias("tags"))
+    return tagging.with_tags(docs.select("doc_id", "text"), "text", "tags", _TAXONOMY).select("doc_id", F.array_join("tags", ",").alias("tags"))
 
 
-def _whole_tag_sql() -> str:
+def _tag_sql() -> str:
     score = lambda keys, b: "(" + " + ".join(f"CASE WHEN {_n_sql(z)} > 0 THEN ({' + '.join(_count_sql(f'lower({z})', k) for k in keys)}) / {_n_sql(z)}::DOUBLE * {w} ELSE 0 END" for z, w in (("title", 3.0), ("first", 1.5), ("body", 1.0))) + f") * {b}"
     parts = ", ".join(f"{{'s': {score(keys, b)}, 'o': {i}, 'l': '{label}'}}" for i, (label, keys, b) in enumerate(_TAXONOMY))
     return f"""
-WITH a AS (SELECT doc_id, {_strip_sql("coalesce(text, '')")} AS t FROM documents),
-b AS (SELECT doc_id, string_split(t, chr(10))[1] AS title, {_strip_sql("CASE WHEN contains(t, chr(10)) THEN substr(t, instr(t, chr(10)) + 1) ELSE '' END")} AS r FROM a),
+WITH a AS (SELECT doc_id, {strip_sql("coalesce(text, '')")} AS t FROM documents),
+b AS (SELECT doc_id, string_split(t, chr(10))[1] AS title, {strip_sql("CASE WHEN contains(t, chr(10)) THEN substr(t, instr(t, chr(10)) + 1) ELSE '' END")} AS r FROM a),
 z AS (SELECT doc_id, title, CASE WHEN contains(r, chr(10) || chr(10)) THEN substr(r, 1, instr(r, chr(10) || chr(10)) - 1) ELSE r END AS first, CASE WHEN contains(r, chr(10) || chr(10)) THEN substr(r, instr(r, chr(10) || chr(10)) + 2) ELSE '' END AS body FROM b),
 s AS (SELECT doc_id, unnest([{parts}]) AS x FROM z), p AS (SELECT doc_id, x.l AS l, round(x.s, 9) AS s, x.o AS o FROM s),
 r AS (SELECT doc_id, string_agg(l, ',' ORDER BY s DESC, o) AS tags FROM p WHERE s > 0 GROUP BY doc_id)
 SELECT doc_id, coalesce(tags, 'general') AS tags FROM z LEFT JOIN r USING (doc_id)"""
 
 
-@query(_whole_tag_sql())
-def positional_tags_whole(spark, sf):
-    """All documents in all languages; ``positional_tags`` is over English in ASCII."""
-    return _tags(t(spark, sf, "documents"))
-
-
-@query(f"""
-WITH d AS (SELECT doc_id, lower(text) AS l, len({_TOK}) AS n FROM documents WHERE lang = 'en' AND regexp_full_match(text, '[\\x00-\\x7F]*')),
-h AS (SELECT doc_id, n, len(regexp_extract_all(l, '\\bthere\\b')) AS a, len(regexp_extract_all(l, '\\bhation\\w*\\b')) AS b, len(regexp_extract_all(l, '\\b(?:thents|thent)\\b')) AS c, (length(l) - length(replace(l, 'of the', ''))) / 6 AS p FROM d)
-SELECT doc_id, (b + c + p)::INT AS hits, b > 0 AND b + c + p >= 2 AND (b + c + p) / n::DOUBLE >= 0.003 AS relevant FROM h""")
-def topic_relevance(spark, sf):
-    return _relevance(_ascii_english(spark, sf))
+@query(_tag_sql())
+def positional_tags(spark, sf):
+    return _tags(texts(spark, sf, "documents"))
 
 
 def _relevance(docs: DataFrame) -> DataFrame:
@@ -359,9 +283,8 @@ def _relevance(docs: DataFrame) -> DataFrame:
 WITH d AS (SELECT doc_id, lower(text) AS l, {_n_sql("text")} AS n FROM documents), w AS (SELECT *, {_words_sql("l")} AS w FROM d),
 h AS (SELECT doc_id, n, len(list_filter(w, lambda x: starts_with(x, 'hation'))) AS b, len(list_filter(w, lambda x: x IN ('thents', 'thent'))) AS c, (length(l) - length(replace(l, 'of the', ''))) // 6 AS p FROM w)
 SELECT doc_id, (b + c + p)::INT AS hits, coalesce(b > 0 AND b + c + p >= 2 AND (b + c + p) / n::DOUBLE >= 0.003, false) AS relevant FROM h""")
-def topic_relevance_whole(spark, sf):
-    """All documents in all languages; ``topic_relevance`` is over English in ASCII."""
-    return _relevance(t(spark, sf, "documents"))
+def topic_relevance(spark, sf):
+    return _relevance(texts(spark, sf, "documents"))
 
 
 @query("""
@@ -377,12 +300,12 @@ def semantic_gate(spark, sf):
 
 
 @query(f"""
-WITH a AS (SELECT o_orderkey, floor((epoch(TIMESTAMP '{AS_OF}') - epoch(o_orderdate)) / 86400)::INT AS age FROM orders)
-SELECT o_orderkey, age, round(CASE WHEN age < 0 THEN 0.3 ELSE greatest(0.05, 0.95 * pow(2.0, -age / 900.0)) END, 5) AS score FROM a""")
+WITH a AS (SELECT o_orderkey, datediff('day', o_orderdate::DATE, DATE '{AS_OF[:10]}') AS age FROM orders)
+SELECT o_orderkey, age::INT AS age, CASE WHEN age < 0 THEN 0.3 ELSE greatest(0.05, round(0.95 * pow(2.0, -age / 900.0), 4)) END AS score, CASE WHEN age < 0 THEN 0.3 ELSE 0.88 END::DOUBLE AS confidence FROM a""")
 def recency_decay(spark, sf):
-    age = text.age_days(F.col("o_orderdate"))
-    score = F.when(age < 0, 0.3).otherwise(F.greatest(F.lit(0.05), 0.95 * F.pow(F.lit(2.0), -age / signals.halflife(F.lit("pubmed")))))
-    return t(spark, sf, "orders").select("o_orderkey", age.alias("age"), F.round(score, 5).alias("score"))
+    o = t(spark, sf, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("published_date"))
+    x = signals.recency(F.col("published_date"), F.lit("pubmed"))
+    return o.select("o_orderkey", F.get_json_object(x["evidence"], "$.age_days").cast("int").alias("age"), x["score"].alias("score"), x["confidence"].alias("confidence"))
 
 
 @query("""
@@ -567,11 +490,19 @@ def run_manifest(spark, sf):
     return sinks.manifest(_scored_items(spark, sf), "2026-05-10T00:00:00Z").select("topic", "total_records", "avg_trust")
 
 
-@query("SELECT host, count(*) FILTER (state = 'OPEN') AS opened FROM (SELECT event_type AS host, 'CLOSED' AS state FROM events) GROUP BY host")
+@query("""
+WITH RECURSIVE l AS (SELECT user_id, event_id, event_type <> 'error' AND event_type <> 'view' AS ok, 10.0 * row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS ts, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS r FROM events),
+f AS (SELECT user_id, r, event_id, ts, 'CLOSED' AS state, CASE WHEN ok THEN 0 ELSE 1 END AS fails, NULL::DOUBLE AS opened FROM l WHERE r = 1
+UNION ALL SELECT x.user_id, x.r, x.event_id, x.ts, x.state, CASE WHEN x.state = 'OPEN' THEN x.fails WHEN x.ok THEN 0 ELSE x.fails + 1 END,
+CASE WHEN x.state = 'OPEN' THEN x.opened WHEN x.ok THEN NULL WHEN x.fails + 1 >= 3 THEN x.ts ELSE x.opened END
+FROM (SELECT l.*, f.fails, f.opened, CASE WHEN f.opened IS NULL THEN 'CLOSED' WHEN l.ts - f.opened <= 30 THEN 'OPEN' ELSE 'HALF_OPEN' END AS state FROM f JOIN l ON l.user_id = f.user_id AND l.r = f.r + 1) x)
+SELECT user_id::VARCHAR AS host, count(*) FILTER (state = 'OPEN') AS n_open, count(*) FILTER (state = 'HALF_OPEN') AS n_half_open, count(*) FILTER (state = 'CLOSED') AS n_closed FROM f GROUP BY user_id""")
 def circuit_breaker(spark, sf):
-    """Every fourth attempt fails, never three in a row: no host opens."""
-    log = t(spark, sf, "events").select(F.col("event_type").alias("host"), F.col("event_id").cast("double").alias("ts"), (F.row_number().over(__import__("pyspark").sql.Window.partitionBy("event_type").orderBy("event_id")) % 4 != 0).alias("ok"))
-    return feeds.breaker(log).groupBy("host").agg(F.count_if(F.col("state") == "OPEN").alias("opened"))
+    """Users as hosts, one attempt every ten seconds; errors and views fail, so circuits open and close again."""
+    place = F.row_number().over(W.partitionBy("user_id").orderBy("event_id"))
+    log = t(spark, sf, "events").select(F.col("user_id").cast("string").alias("host"), (10.0 * place).alias("ts"), (~F.col("event_type").isin("error", "view")).alias("ok"))
+    n = lambda state: F.count_if(F.col("state") == state)
+    return feeds.breaker(log).groupBy("host").agg(n("OPEN").alias("n_open"), n("HALF_OPEN").alias("n_half_open"), n("CLOSED").alias("n_closed"))
 
 
 @query("SELECT * FROM (VALUES ('a', '10.1/x', 'BACKGROUND: One.' || chr(10) || chr(10) || 'Two.')) AS v(pmid, doi, abstract)")
@@ -595,23 +526,27 @@ def rss_items(spark, sf):
 # --- the whole ---------------------------------------------------------------------------------------
 
 
+_HOSTS = ("www.nih.gov", "medium.com", "blog.example.org", "news.bbc.co.uk", "top10tricks.example.com", "arxiv.org", "www.youtube.com")
+
+
 def record_view(spark, sf):
-    """Documents as scraped records, with URL, author, date and counts derived from the other tables."""
-    docs, pages = t(spark, sf, "documents"), t(spark, sf, "pages").select("page_id", "url")
-    n = pages.agg(F.max("page_id")).first()[0] + 1
-    d = docs.withColumns({"page_id": F.col("doc_id") % n, "source_type": F.element_at(F.array(F.lit("blog"), F.lit("youtube"), F.lit("pubmed")), (F.col("doc_id") % 3 + 1).cast("int"))})
-    return d.join(pages, "page_id").select(
-        F.col("doc_id").alias("seq"),
-        F.lit("corpus").alias("topic"),
-        F.lit(0).alias("topic_idx"),
-        "source_type",
-        F.concat("url", F.lit("/d"), F.col("doc_id").cast("string")).alias("source_url"),
+    """Documents as scraped records: language as topic, and URL, author, date and counts made from the id and source."""
+    k, kinds = F.col("doc_id"), F.array(F.lit("blog"), F.lit("youtube"), F.lit("pubmed"))
+    host = F.element_at(F.array(*[F.lit(h) for h in _HOSTS]), (k % len(_HOSTS) + 1).cast("int"))
+    lang = F.coalesce("lang", F.lit("unknown"))
+    return texts(spark, sf, "documents").select(
+        k.alias("seq"),
+        lang.alias("topic"),
+        F.ascii(lang).alias("topic_idx"),
+        F.element_at(kinds, (k % 3 + 1).cast("int")).alias("source_type"),
+        F.concat(F.lit("https://"), host, F.lit("/"), F.coalesce("source", F.lit("none")), F.lit("/d"), k.cast("string")).alias("source_url"),
         F.col("source").alias("author"),
-        F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 900).cast("int")), "yyyy-MM-dd").alias("published_date"),
+        F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (k % 900).cast("int")), "yyyy-MM-dd").alias("published_date"),
         F.col("lang").alias("language"),
-        (F.col("doc_id") * 37 % 5000).alias("view_count"),
-        (F.col("doc_id") * 11 % 300).alias("like_count"),
+        (k * 37 % 5000).alias("view_count"),
+        (k * 11 % 300).alias("like_count"),
         F.lit(600).cast("bigint").alias("duration_sec"),
+        (k % 6 == 1).alias("has_transcript"),
         "text",
     )
 

@@ -5,6 +5,9 @@ Live fetching is an adapter's work: anything that delivers the raw columns named
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,20 +98,38 @@ def manifests(spark: SparkSession, root: str) -> DataFrame:
     return df.withColumn("topic_dir", F.regexp_extract(F.input_file_name(), r"/topics/([^/]+)/", 1))
 
 
+def _states(threshold: int, open_seconds: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, fails, opened = None, 0, None
+        for batch in batches:
+            out = []
+            for host, ts, ok in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if host != at:
+                    at, fails, opened = host, 0, None
+                state = "CLOSED" if opened is None else "OPEN" if ts - opened <= open_seconds else "HALF_OPEN"
+                if state != "OPEN":
+                    fails, opened = (0, None) if ok else (fails + 1, opened)
+                    if fails >= threshold:
+                        opened = ts
+                out.append(state)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], ["host", "ts", "state"])
+
+    return run
+
+
 def breaker(attempts: DataFrame, threshold: int = 3, open_seconds: float = 30.0) -> DataFrame:
     """Circuit states over a log (host, ts, ok): per host, the state met by each attempt.
 
     CLOSED until ``threshold`` failures in a row, then OPEN for ``open_seconds``, then HALF_OPEN until an outcome.
+    A host's attempts depend on each other, so a task reads its sorted hosts in batches and carries one state.
     """
-    log = attempts.groupBy("host").agg(F.array_sort(F.collect_list(F.struct(F.col("ts").cast("double").alias("ts"), "ok"))).alias("log"))
-    out_t = "array<struct<ts:double,state:string>>"
-
-    def step(acc: Column, x: Column) -> Column:
-        state = F.when(acc["opened"].isNull(), "CLOSED").when(x["ts"] - acc["opened"] < open_seconds, "OPEN").otherwise("HALF_OPEN")
-        let = state != "OPEN"
-        fails = F.when(~let, acc["fails"]).when(x["ok"], 0).otherwise(acc["fails"] + 1)
-        opened = F.when(~let, acc["opened"]).when(x["ok"], F.lit(None)).when(fails >= threshold, x["ts"]).otherwise(acc["opened"])
-        return F.struct(fails.alias("fails"), opened.cast("double").alias("opened"), F.concat(acc["out"], F.array(F.struct(x["ts"].alias("ts"), state.alias("state")))).alias("out"))
-
-    zero = F.struct(F.lit(0).alias("fails"), F.lit(None).cast("double").alias("opened"), F.array().cast(out_t).alias("out"))
-    return log.select("host", F.explode(F.aggregate("log", zero, step)["out"]).alias("o")).select("host", "o.ts", "o.state")
+    log = attempts.select("host", F.col("ts").cast("double").alias("ts"), F.coalesce(F.col("ok"), F.lit(False)).alias("ok"))
+    ordered = log.repartition("host").sortWithinPartitions("host", "ts", "ok")
+    return ordered.mapInArrow(_states(threshold, open_seconds), "host string, ts double, state string")
+
+
+def backoff_bounds(attempt: Column, s: Settings = DEFAULT) -> Column:
+    """(least, most) seconds to wait before a repeated request: base to the power of the attempt, give or take the jitter."""
+    wait = F.pow(F.lit(s.backoff_base), attempt)
+    bound = lambda sign: F.greatest(F.lit(s.backoff_floor), wait * (1 + sign * s.backoff_jitter))
+    return F.struct(bound(-1).alias("least"), bound(1).alias("most"))
