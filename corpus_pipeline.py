@@ -42,7 +42,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return sharding.kd_shards(docs, {c: sharding.as_number(docs, c) for c in ("source", "lang", "n_chars")}, n_shards=8)
+    return sharding.kd_shards(docs, ["source", "lang", "n_chars"], n_shards=8, carry=[c for c in COLUMNS if c != "doc_id"])
 
 
 STAGES = [
