@@ -91,9 +91,11 @@ def test_toxicity(spark):
     assert not any(x["toxic"] for x in toxicity.score(docs, flat).collect())
 
 
-def test_kd_shards(docs, none, rows):
-    dims = lambda d: {c: sharding.as_number(d, c) for c in ("source", "lang", "n_chars")}
-    got = sharding.kd_shards(docs, dims(docs), n_shards=4).collect()
+DIMS = ["source", "lang", "n_chars"]
+
+
+def check_shards(got, rows, n):
+    """Ids, sizes, digests, gapless slots, and sizes that differ by less than two of the longest texts."""
     assert sorted(x["doc_id"] for x in got) == sorted(x[0] for x in rows)
     by, text = defaultdict(list), {x[0]: x[1] or "" for x in rows}
     for x in got:
@@ -101,17 +103,121 @@ def test_kd_shards(docs, none, rows):
         assert x["size"] == len(text[x["doc_id"]].encode()) + 1 and x["text_crc32"] == zlib.crc32(text[x["doc_id"]].encode())
     assert all(sorted(x["slot"] for x in v) == list(range(len(v))) for v in by.values())
     sizes, largest = [sum(x["size"] for x in v) for v in by.values()], max(x["size"] for x in got)
-    assert len(by) <= 4 and max(sizes) - min(sizes) <= 2 * largest
-    assert sharding.kd_shards(none, dims(none), n_shards=4).count() == 0
-    assert {x["shard"] for x in sharding.kd_shards(docs, dims(docs), target_bytes=10**9).collect()} == {0}
+    assert set(by) <= set(range(n)) and max(sizes) - min(sizes) <= 2 * largest
+
+
+def test_kd_shards(docs, none, rows):
+    check_shards(sharding.kd_shards(docs, DIMS, n_shards=4).collect(), rows, 4)
+    assert sharding.kd_shards(none, DIMS, n_shards=4).count() == 0
+    assert {x["shard"] for x in sharding.kd_shards(docs, DIMS, target_bytes=10**9).collect()} == {0}
 
 
 def test_kd_shards_split_one_hot_value(spark):
     same = spark.createDataFrame([(i, "x" * 99, "one", "one", 99) for i in range(800)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
-    got = Counter(x["shard"] for x in sharding.kd_shards(same, {c: sharding.as_number(same, c) for c in ("source", "lang")}, n_shards=8).collect())
+    got = Counter(x["shard"] for x in sharding.kd_shards(same, ["source", "lang"], n_shards=8).collect())
     assert len(got) == 8 and max(got.values()) - min(got.values()) <= 8
 
 
+def test_kd_shards_do_not_depend_on_the_layout(spark, docs, rows):
+    """Another number and order of partitions gives every document the same shard and slot; a third of the rows are one row."""
+    many = docs.unionByName(spark.createDataFrame([rows[4]] * (len(rows) // 2), docs.schema)).unionByName(spark.createDataFrame([(None, None, None, None, None, "c", 1)] * 2, docs.schema))
+    keys = ("doc_id", "size", "text_crc32", "shard", "slot")
+    one = sorted((tuple(x[k] for k in keys) for x in sharding.kd_shards(many.coalesce(1), DIMS, n_shards=4, carry=["text", "id", "bucket"]).collect()), key=str)
+    other = sorted((tuple(x[k] for k in keys) for x in sharding.kd_shards(many.repartition(7, F.rand(5)), DIMS, n_shards=4, carry=["text", "id", "bucket"]).collect()), key=str)
+    assert one == other and len(one) == len(rows) + len(rows) // 2 + 2
+    assert len({x[3] for x in one if x[0] == rows[4][0]}) > 1  # the repeated row is in several shards
+
+
+def test_kd_tree_splits_where_brute_force_does(spark):
+    """Two dimensions, distinct sizes: each split is at the weighted median of the widest one."""
+    r = random.Random(12)
+    pts = [(i, "y" * r.randint(1, 50), r.random() * 3 - 1, f"https://example.org/common/prefix/{r.randint(0, 400):04d}") for i in range(300)]
+    got = {x["doc_id"]: x["shard"] for x in sharding.kd_shards(spark.createDataFrame(pts, "doc_id bigint, text string, score double, site string"), ["score", "site"], n_shards=4).collect()}
+    rank = {v: k for k, v in enumerate(sorted({p[3] for p in pts}))}
+    lo, hi = min(p[2] for p in pts), max(p[2] for p in pts)
+    at = {p[0]: (int((p[2] - lo) / (hi - lo) * sharding.FRACTION_STEPS), rank[p[3]]) for p in pts}
+    size = {p[0]: len(p[1]) + 1 for p in pts}
+    top = [max(v[d] for v in at.values()) - min(v[d] for v in at.values()) for d in (0, 1)]
+
+    def split(ids, a, b):
+        if b - a == 1:
+            return {i: a for i in ids}
+        width = [(max(at[i][d] for i in ids) - min(at[i][d] for i in ids)) / top[d] for d in (0, 1)]
+        d = 0 if width[0] >= width[1] else 1
+        order, total, need = sorted(ids, key=lambda i: at[i][d]), 0, sum(size[i] for i in ids) / 2
+        for i in order:
+            total += size[i]
+            if total >= need:
+                median = at[i][d]
+                break
+        left = [i for i in ids if at[i][d] < median]
+        right = [i for i in ids if at[i][d] > median]
+        tied = [i for i in ids if at[i][d] == median]
+        mid = a + (b - a) // 2
+        inside = [i for i in tied if got[i] < mid]  # the hash decides among these alone
+        return split(left + inside, a, mid) | split(right + [i for i in tied if got[i] >= mid], mid, b)
+
+    assert got == split(list(at), 0, 4)
+
+
+def test_toxicity_of_odd_rows(spark):
+    """Repeated ids do not widen the sample; long texts, nulls, clashing names and empty tables are scored."""
+    r = random.Random(8)
+    rows = [(i, prose(r, 30) + (" vile nasty" if i % 2 else ""), "a", 0.5) for i in range(60)] + [(1, "vile " + prose(r, 9), "a", 0.5)] * 50
+    rows += [(70, prose(r, 30_000) + " vile nasty", "a", 0.5), (71, None, "a", 0.5), (None, "vile nasty", "a", 0.5)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, toxic string, p_toxic double")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id bigint, grade int")
+    model = toxicity.train(docs, labels, least_g2=5.0)
+    out = toxicity.score(docs, model, keep_columns=True)
+    assert out.columns == ["doc_id", "text", "expected_severity", "p_toxic", "toxic"]
+    got = out.collect()
+    assert len(got) == len(rows) and all(x["toxic"] for x in got if x["doc_id"] in (70, None)) and not any(x["toxic"] for x in got if x["doc_id"] == 71)
+    assert toxicity.score(docs.limit(0), model).count() == 0
+    assert toxicity.train(docs, labels, sample_rows=2).thresholds == toxicity.train(docs.where("doc_id <> 1"), labels, sample_rows=2).thresholds
+
+
+def test_ordinal_fit_is_optimal():
+    """The fit against plain gradient descent with gradients from differences of the likelihood itself."""
+    r = np.random.default_rng(3)
+    n, m, k = 150, 3, 3
+    x = (r.random((n, m)) < 0.4).astype(float)
+    y = np.clip(np.digitize(x @ np.array([2.0, 1.0, -1.0]) + r.logistic(size=n), [0.5, 2.0]), 0, k - 1)
+    ridge = 0.02
+
+    def loss(p):
+        w, t = p[:m], np.array([p[m], p[m] + np.exp(p[m + 1])])
+        f = np.column_stack([np.zeros(n), 1 / (1 + np.exp(-(t[None, :] - (x @ w)[:, None]))), np.ones(n)])
+        return -np.log(f[np.arange(n), y + 1] - f[np.arange(n), y]).sum() + ridge / 2 * (w @ w)
+
+    def slope(p):
+        return np.array([(loss(p + h) - loss(p - h)) / 2e-5 for h in np.eye(m + 2) * 1e-5])
+
+    p = np.zeros(m + 2)
+    for _ in range(4000):
+        p = p - 0.01 * slope(p)
+    w, theta = toxicity.fit_ordinal([np.flatnonzero(row).tolist() for row in x], y, m, k, ridge=ridge)
+    ours = np.concatenate([w, theta[:1], np.log(np.diff(theta))])
+    assert loss(ours) <= loss(p) + 1e-3 and np.abs(ours - p).max() < 0.02
+
+
+def test_grades_come_from_words_of_the_other_half(spark):
+    r = random.Random(4)
+    rows, labels = [], []
+    for i in range(600):
+        bad = i % 3
+        w = prose(r, 60).split() + ["vile", "nasty", "grimly", "rotten"][: r.randint(1, 4)] * (4 * bad) if bad else prose(r, 60).split()
+        r.shuffle(w)
+        rows.append((i, " ".join(w)))
+        if i < 450:
+            labels.append((i, int(bad > 0)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    model = toxicity.train(docs, spark.createDataFrame(labels, "doc_id bigint, grade int"), grades_by_density=3)
+    assert len(model.thresholds) == 3 and model.thresholds == sorted(model.thresholds)
+    got = {x["doc_id"]: x for x in toxicity.score(docs, model).collect()}
+    assert np.mean([got[i]["toxic"] == (i % 3 > 0) for i in range(450, 600)]) >= 0.98
+    assert np.mean([got[i]["expected_severity"] for i in range(450, 600) if i % 3]) > 1.5
+
+
 def test_quality_counts(docs, none, rows):
     got = {x["doc_id"]: x for x in quality.clean_lines(docs).collect()}
     for i, t, *_ in rows:
@@ -133,26 +239,64 @@ def test_quality_lines(spark):
     assert x[0]["clean_text"] == f"{good}\n{good} Again, and once more, it is fine." and x[0]["n_lines_removed"] == 4 and x[1]["kept"]
 
 
+def brute_rake(cells, targets, budget, sweeps=12):
+    """{(source, lang, topic): tokens} to expected tokens, sweep by sweep."""
+    total = sum(cells.values())
+    w = {c: n * budget for c, n in cells.items()}
+    for _ in range(sweeps):
+        for d in range(3):
+            have = Counter()
+            for c in cells:
+                have[c[d]] += w[c]
+            w = {c: min(n, w[c] * targets[d][c[d]] * total * budget / have[c[d]] if have[c[d]] else w[c]) for c, n in cells.items()}
+    return w
+
+
 def test_mixing(docs, none, rows):
-    got = mixing.mix(docs, mixing.topic_of(F.col("text")), budget=0.5).collect()
-    assert len(got) == len(rows) and all(0 <= x["_probability"] <= 1 for x in got)
-    total = sum(x["_n_tokens"] for x in got)
-    expected = sum(x["_n_tokens"] * x["_probability"] for x in got)
-    assert abs(expected - 0.5 * total) <= 0.15 * total
-    assert {x["doc_id"]: x["_sampled"] for x in got} == {x["doc_id"]: x["_sampled"] for x in mixing.mix(docs, mixing.topic_of(F.col("text")), budget=0.5).collect()}
-    assert mixing.mix(none, mixing.topic_of(F.col("text"))).count() == 0
+    topic = mixing.topic_of(F.col("text"))
+    got, report = mixing.mix(docs, topic, budget=0.5, report=True)
+    got, report = got.collect(), report.collect()
+    assert len(got) == len(rows)
+    by_id = {x[0]: x for x in rows}
+    cells = Counter()
+    for x in got:
+        assert x["_n_tokens"] == len(WORD.findall(by_id[x["doc_id"]][1] or ""))
+        cells[x["source"], x["lang"], x["_topic"]] += x["_n_tokens"]
+    total, targets = sum(cells.values()), []
+    for d in range(3):
+        sums = Counter()
+        for c, n in cells.items():
+            sums[c[d]] += n
+        power = {v: n**0.7 for v, n in sums.items()}
+        targets.append({v: p / sum(power.values()) for v, p in power.items()})
+    want = brute_rake(dict(cells), targets, 0.5)
+    for x in got:
+        c = (x["source"], x["lang"], x["_topic"])
+        assert abs(x["_probability"] - (want[c] / cells[c] if cells[c] else 1.0)) < 1e-6
+    expected = {(d, v): sum(want[c] for c in cells if c[k] == v) / total / 0.5 for k, d in enumerate(("source", "lang", "topic")) for v in targets[k]}
+    assert {(r["dimension"], r["value"]): round(r["expected"], 6) for r in report} == {k: round(v, 6) for k, v in expected.items()}
+    again = mixing.mix(docs, topic, budget=0.5).collect()
+    assert {x["doc_id"]: x["_sampled"] for x in got} == {x["doc_id"]: x["_sampled"] for x in again}
+    assert mixing.mix(none, topic).count() == 0
+
+
+def test_mixing_keeps_columns_of_any_name(docs):
+    odd = docs.withColumns({"_probability": F.lit(9.0), "_source2": F.lit("a"), "_source": F.lit("b"), "_draw": F.lit(1), "_value": F.lit(2), "tokens": F.lit(3), "a.b": F.lit(4)})
+    x = mixing.mix(odd, mixing.topic_of(F.col("text"))).first()
+    assert (x["_source2"], x["_source"], x["_draw"], x["_value"], x["tokens"], x["a.b"], x["id"]) == ("a", "b", 1, 2, 3, 4, "clash") and 0 <= x["_probability"] <= 1
 
 
 def test_raking_meets_marginals(spark):
     cells = spark.createDataFrame([(a, b, c, 1000 + 37 * i) for i, (a, b, c) in enumerate((a, b, c) for a in "xyz" for b in "pq" for c in "mn")], "_source string, _lang string, _topic string, tokens bigint")
     share = lambda d, v: spark.createDataFrame(v, f"{d} string, share double")
+    dims = ["_source", "_lang", "_topic"]
     targets = {"_source": share("_source", [("x", 0.5), ("y", 0.3), ("z", 0.2)]), "_lang": share("_lang", [("p", 0.6), ("q", 0.4)]), "_topic": share("_topic", [("m", 0.5), ("n", 0.5)])}
-    got = mixing.rake(cells, ["_source", "_lang", "_topic"], targets, 0.3).collect()
-    total = sum(x["weight"] for x in got)
-    for d, want in (("_source", {"x": 0.5, "y": 0.3, "z": 0.2}), ("_lang", {"p": 0.6, "q": 0.4})):
-        for v, s in want.items():
-            assert abs(sum(x["weight"] for x in got if x[d] == v) / total - s) < 1e-3
-    assert all(x["weight"] <= x["tokens"] + 1e-9 for x in got)
+    raked = mixing.rake(cells, dims, targets, 0.3, sweeps=40)
+    assert all(x["weight"] <= x["tokens"] + 1e-9 for x in raked.collect())
+    got = mixing.residuals(raked, dims, 0.3).collect()
+    assert len(got) == 7 and all(abs(r["residual"]) < 1e-6 and not r["too_few"] for r in got)
+    scarce = mixing.residuals(mixing.rake(cells, dims, targets | {"_source": share("_source", [("x", 0.98), ("y", 0.01), ("z", 0.01)])}, 0.9, sweeps=40), dims, 0.9).collect()
+    assert [r["too_few"] for r in scarce if r["value"] == "x"] == [True] and [r["residual"] for r in scarce if r["value"] == "x"][0] < -0.5
 
 
 def test_warc(spark, tmp_path):

@@ -1,16 +1,14 @@
-"""Shared plumbing: shared-folder tables, checked broadcasts, safe column names."""
+"""Plumbing of the subpackage: tables of the input, safe column names, batches for Python workers."""
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-#: A side is broadcast only when its written size is below this; above it the join is shuffled.
-BROADCAST_BYTES = 24 * 1024 * 1024
+from trustloom.storage import BROADCAST_BYTES, checked, discard, materialize, written_bytes
+
+__all__ = ["BROADCAST_BYTES", "SPACES", "checked", "discard", "fresh", "materialize", "partitions_for", "small_batches", "table", "written_bytes"]
 
 #: Rows of an Arrow batch, unless the session sets its own: whole texts make the default of 10,000 too many.
 ARROW_ROWS = 2000
@@ -19,76 +17,12 @@ _ARROW = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Characters that separate words in the documents' contracts: space and U+0009 to U+000D.
 SPACES = " \t\n\x0b\x0c\r"
 
-_written: list[tuple[SparkSession, str]] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; only where it is unset (tests) one of our own."""
-    sc = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None) or sc._conf.get("spark.checkpoint.dir")
-    if not base:
-        base = f"file://{tempfile.mkdtemp(prefix='trustloom-')}"
-        spark.conf.set("spark.checkpoint.dir", base)
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(base)
-    return base.rstrip("/")
-
-
-def materialize(df: DataFrame, label: str) -> tuple[DataFrame, str]:
-    """Write ``df`` as a Parquet table in the shared folder; returns the table read back and its path.
-
-    Cuts the lineage so that a lost executor costs at most the tasks that were running, and gives the
-    written size that the checked broadcasts look at.
-    """
-    spark = df.sparkSession
-    small_batches(spark)
-    path = f"{shared_dir(spark)}/tables/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path), path
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def written_bytes(spark: SparkSession, path: str) -> int:
-    fs, p = _fs(spark, path)
-    return int(fs.getContentSummary(p).getLength())
 
+def small_batches(spark: SparkSession) -> None:
+    """Python workers get texts in batches of ``ARROW_ROWS``, where the session has Spark's default.
 
-def discard(spark: SparkSession, path: str) -> None:
-    """Delete a table of ``materialize`` that no later step reads."""
-    fs, p = _fs(spark, path)
-    fs.delete(p, True)
-    if (spark, path) in _written:
-        _written.remove((spark, path))
-
-
-@atexit.register
-def _clean() -> None:
-    for spark, path in _written:
-        try:
-            fs, p = _fs(spark, path)
-            fs.delete(p, True)
-        except Exception:  # noqa: BLE001  the session may be gone at exit
-            return
-
-
-def checked(side: tuple[DataFrame, str], limit: int = BROADCAST_BYTES) -> DataFrame:
-    """The written table, hinted for broadcast only if its files are below ``limit``.
-
-    Parquet may be several times smaller than the rows in memory, so ``limit`` is compared with four
-    times the written size. Above it, the join is left to Spark (sort-merge, with skewed keys split).
+    Spark reads this setting when a plan runs, so it stays set in the session of the query.
     """
-    df, path = side
-    return F.broadcast(df) if 4 * written_bytes(df.sparkSession, path) <= limit else df
-
-
-def small_batches(spark: SparkSession) -> None:
-    """Python workers get texts in batches of ``ARROW_ROWS``, where the session has Spark's default."""
     if spark.conf.get(_ARROW) == "10000":
         spark.conf.set(_ARROW, str(ARROW_ROWS))
 
@@ -100,3 +34,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def partitions_for(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def fresh(taken: Iterable[str], *names: str) -> list[str]:
+    """The names, each with as many underscores before it as it takes to differ from every one in ``taken``."""
+    low = {t.lower() for t in taken}
+    out = []
+    for name in names:
+        while name.lower() in low:
+            name = "_" + name
+        low.add(name.lower())
+        out.append(name)
+    return out

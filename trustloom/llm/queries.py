@@ -25,8 +25,7 @@ def op1_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return sharding.kd_shards(docs, {c: sharding.as_number(docs, c) for c in ("source", "lang", "n_chars")}, n_shards=8)
+    return sharding.kd_shards(table(spark, sf_dir, "documents"), ["source", "lang", "n_chars"], n_shards=8)
 
 
 def op3_line_first_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +34,7 @@ def op3_line_first_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_raked_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
-    mixed = mixing.mix(docs, mixing.topic_of(F.col("text")))
+    mixed = mixing.mix(docs, mixing.topic_of(F.col("text")), carry=["doc_id", "source", "lang"])
     return mixed.select(
         "doc_id", "source", "lang", F.col("_topic").alias("topic"), F.col("_n_tokens").alias("n_tokens"), F.round("_probability", 6).alias("probability"), F.col("_sampled").alias("sampled")
     )

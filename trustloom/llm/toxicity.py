@@ -9,8 +9,10 @@ the features are chosen by a distributed likelihood-ratio test over that sample,
 is then scored on its whole text by one projection without a shuffle.
 
 Defined cases: a null or empty text has no feature and gets the base rate; labels with a null id or
-grade are left out; several labels of one document count as their highest; repeated rows are scored
-each; without labels, or with a single grade, every document has severity 0 and is not toxic.
+grade are left out; several labels of one document count as their highest, and several texts of one id
+as the smallest of them; repeated rows are scored each, by their own text; without labels, or with a
+single grade, every document has severity 0 and is not toxic; a text of any length is read whole; an
+empty table gives no rows; columns of the input named like the results are replaced, others kept.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trustloom.llm.common import materialize
+from trustloom.llm.common import discard, materialize
 from trustloom.llm.words import ALNUM
 
 SAMPLE_ROWS = 8000
@@ -105,52 +107,71 @@ def _likelihood_ratio(a, b, na, nb):
     return 2 * (part(a, F.lit(na), both) + part(b, F.lit(nb), both) + part(na - a, F.lit(na), total - both) + part(nb - b, F.lit(nb), total - both))
 
 
+def _lexicon(rows, pos: int, neg: int, a: str, b: str, least_g2: float, most: int) -> DataFrame:
+    """Features of largest likelihood ratio, and whether they speak for a grade above 0."""
+    scored = rows.withColumns({"g2": _likelihood_ratio(F.col(a), F.col(b), float(pos), float(neg)), "up": F.col(a) * neg > F.col(b) * pos})
+    return scored.where((F.col(a) + F.col(b) >= 3) & (F.col("g2") >= least_g2)).orderBy(F.desc("g2"), "f").limit(most).select("f", "up")
+
+
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, max_features: int = MAX_FEATURES, least_g2: float = 15.0, grades_by_density: int = 0) -> OrdinalModel:
-    """Fit on (doc_id, grade) labels. At most ``sample_rows`` labelled rows are used.
+    """Fit on (doc_id, grade) labels. At most ``sample_rows`` labelled ids are used, each with one text (the smallest).
 
-    ``grades_by_density``: for labels that only say toxic or not, so many severity grades are made of
-    the toxic rows, by how many of the chosen features that speak for toxicity they hold.
+    ``grades_by_density``: for labels that only say toxic or not, so many severity grades are DERIVED for the
+    toxic rows. The sample is halved by a hash of the id; each half's words that speak for toxicity are
+    found from its labels alone, and a toxic row is graded by the share of its words that the OTHER half
+    found: the words that grade a row were not chosen by looking at it. Quantiles of that share are the grades.
     """
     spark = docs.sparkSession
     graded = labels.where(F.col("doc_id").isNotNull() & F.col("grade").isNotNull()).groupBy("doc_id").agg(F.max("grade").cast("int").alias("grade"))
     sample = graded.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id")  # sample_rows is the bound
+    rows = rows.groupBy("doc_id", "grade").agg(F.min("text").alias("text")).withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)).cast("int"))
 
     def extract(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("grade").cast(pa.int32()), pa.array([list(features(t)) for t in batch.column("text").to_pylist()], pa.list_(pa.binary()))], ["grade", "features"]
-            )
+            found = [list(features(t)) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("grade").cast(pa.int32()), batch.column("half"), pa.array(found, pa.list_(pa.binary()))], ["grade", "half", "features"])
 
-    table, _ = materialize(rows.select("grade", "text").mapInArrow(extract, "grade int, features array<binary>"), "labelled")
-    sizes = {r["grade"]: r["n"] for r in table.groupBy("grade").agg(F.count(F.lit(1)).alias("n")).collect()}
-    pos, neg = sum(n for g, n in sizes.items() if g > 0), sum(n for g, n in sizes.items() if g <= 0)
+    table, path = materialize(rows.select("grade", "half", "text").mapInArrow(extract, "grade int, half int, features array<binary>"), "labelled")
+    n = {(r["half"], r["up"]): r["n"] for r in table.groupBy("half", (F.col("grade") > 0).alias("up")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = {(h, up): n.get((h, up), 0) for h in (0, 1) for up in (True, False)}
+    pos, neg = sizes[0, True] + sizes[1, True], sizes[0, False] + sizes[1, False]
     if not pos or not neg:
         return OrdinalModel()
-    counted = table.select("grade", F.explode("features").alias("f")).groupBy("f").agg(
-        F.sum((F.col("grade") > 0).cast("double")).alias("a"), F.sum((F.col("grade") <= 0).cast("double")).alias("b")
-    )
-    scored = counted.where(F.col("a") + F.col("b") >= 3).withColumn("g2", _likelihood_ratio(F.col("a"), F.col("b"), float(pos), float(neg)))
-    chosen = scored.where(F.col("g2") >= least_g2).orderBy(F.desc("g2"), "f").limit(max_features).collect()
+    count = lambda half, up: F.sum(((F.col("half") == half) & ((F.col("grade") > 0) == up)).cast("double"))
+    counted = table.select("grade", "half", F.explode("features").alias("f")).groupBy("f").agg(*[count(h, up).alias(f"{'a' if up else 'b'}{h}") for h, up in sizes])
+    counted, counted_path = materialize(counted.withColumns({"a": F.col("a0") + F.col("a1"), "b": F.col("b0") + F.col("b1")}), "features")
+    chosen = [bytes(r["f"]) for r in _lexicon(counted, pos, neg, "a", "b", least_g2, max_features).collect()]
+    at = {f: i for i, f in enumerate(chosen)}
+    speak: list[set[bytes]] = [set(), set()]
+    if grades_by_density > 1:
+        for half in (0, 1):
+            if sizes[half, True] and sizes[half, False]:
+                found = _lexicon(counted, sizes[half, True], sizes[half, False], f"a{half}", f"b{half}", least_g2, max_features).where("up")
+                speak[1 - half] = {bytes(r["f"]) for r in found.collect()}
     if not chosen:
+        discard(spark, path, counted_path)
         return OrdinalModel()
-    at = {bytes(r["f"]): i for i, r in enumerate(chosen)}
-    speaks = {i for i, r in enumerate(chosen) if r["a"] / pos > r["b"] / neg}
-    wanted = spark.sparkContext.broadcast(at)
+    wanted = spark.sparkContext.broadcast((at, speak))
 
     def design(batches):
         for batch in batches:
-            cols = [[wanted.value[f] for f in fs if f in wanted.value] for fs in batch.column("features").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("grade"), pa.array(cols, pa.list_(pa.int32()))], ["grade", "cols"])
-
-    got = table.mapInArrow(design, "grade int, cols array<int>").collect()
-    got.sort(key=lambda r: (r["grade"], sorted(r["cols"])))
+            at, speak = wanted.value
+            cols, share = [], []
+            for fs, half in zip(batch.column("features").to_pylist(), batch.column("half").to_pylist(), strict=True):
+                cols.append([at[f] for f in fs if f in at])
+                share.append(sum(f in speak[half] for f in fs) / max(1, len(fs)))
+            yield pa.RecordBatch.from_arrays([batch.column("grade"), pa.array(share, pa.float64()), pa.array(cols, pa.list_(pa.int32()))], ["grade", "share", "cols"])
+
+    got = table.mapInArrow(design, "grade int, share double, cols array<int>").collect()  # sample_rows at most
+    discard(spark, path, counted_path)
+    got.sort(key=lambda r: (r["grade"], r["share"], sorted(r["cols"])))
     rows_ = [sorted(r["cols"]) for r in got]
     grades = np.array([max(0, r["grade"]) for r in got])
     if grades_by_density > 1:
-        held = np.array([sum(c in speaks for c in r) for r in rows_])
-        cuts = np.quantile(held[grades > 0], np.linspace(0, 1, grades_by_density + 1)[1:-1])
-        grades = np.where(grades > 0, 1 + (held[:, None] > cuts[None, :]).sum(axis=1), 0)
+        share = np.array([r["share"] for r in got])
+        cuts = np.quantile(share[grades > 0], np.linspace(0, 1, grades_by_density + 1)[1:-1])
+        grades = np.where(grades > 0, 1 + (share[:, None] > cuts[None, :]).sum(axis=1), 0)
     levels = np.unique(grades)
     weights, theta = fit_ordinal(rows_, np.searchsorted(levels, grades), len(at), len(levels))
     return OrdinalModel({f: float(weights[i]) for f, i in at.items()}, [float(x) for x in theta])
@@ -159,12 +180,14 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, ma
 def score(docs: DataFrame, model: OrdinalModel, cut: float = 0.5, keep_columns: bool = False) -> DataFrame:
     """expected_severity, p_toxic (P of grade 1 or more) and toxic (p_toxic >= cut) for every document.
 
-    With ``keep_columns`` the result has all columns of ``docs`` and these three.
+    With ``keep_columns`` the result has all columns of ``docs`` and these three, which replace columns of
+    their names.
     """
     known = docs.sparkSession.sparkContext.broadcast((model.weights, model.thresholds))
-    names = list(docs.columns) if keep_columns else ["doc_id"]
+    made = ("expected_severity", "p_toxic", "toxic")
+    names = [c for c in docs.columns if c.lower() not in made] if keep_columns else ["doc_id"]
     text_at = names.index("text") if keep_columns else 1
-    source = docs if keep_columns else docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    source = docs.select(*[F.col(f"`{c}`") for c in names]).withColumn("text", F.col("text").cast("string")) if keep_columns else docs.select("doc_id", F.col("text").cast("string").alias("text"))
 
     def run(batches):
         model = OrdinalModel(*known.value)
@@ -178,5 +201,5 @@ def score(docs: DataFrame, model: OrdinalModel, cut: float = 0.5, keep_columns:
             new = [pa.array(severity, pa.float64()), pa.array(p, pa.float64()), pa.array(p >= cut, pa.bool_())]
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(names))] + new, [*names, "expected_severity", "p_toxic", "toxic"])
 
-    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names)
+    fields = ", ".join(f"`{c}` {source.schema[c].dataType.simpleString()}" for c in names)
     return source.mapInArrow(run, f"{fields}, expected_severity double, p_toxic double, toxic boolean")
