@@ -313,12 +313,12 @@ def test_warc(spark, tmp_path):
     (tmp_path / "a.warc.gz").write_bytes(raw)
     back = warc.derivatives(warc.read_warc(spark, str(tmp_path / "a.warc.gz"))).collect()
     assert {(x["refers_to"], x["http_status"]) for x in back} == {("<urn:uuid:0>", 404), ("<urn:uuid:1>", None)}
-    warc.write_warc(warc.derivatives(responses), str(tmp_path / "out"))
-    import base64
-
-    lines = [r["value"] for r in spark.read.text(str(tmp_path / "out")).collect()]
-    kinds = Counter(h["WARC-Type"] for h, _ in warc.parse_warc(b"".join(base64.b64decode(x) for x in lines)))
-    assert kinds == {"metadata": 3, "conversion": 3}
+    assert warc.write_warc(warc.derivatives(responses), str(tmp_path / "out")) == 6
+    files = list((tmp_path / "out").iterdir())
+    assert files and all(f.name.endswith(".warc.gz") for f in files)
+    found = [x for f in files for x in warc.parse_warc(open(f, "rb"))]
+    assert Counter(h["WARC-Type"] for h, _ in found) == {"metadata": 3, "conversion": 3}
+    assert all(warc.digest(b) == h["WARC-Block-Digest"] and ("WARC-Target-URI" in h) == (h["WARC-Refers-To"] == source[1]) for h, b in found)
 
 
 def brute_repeats(rows, window):

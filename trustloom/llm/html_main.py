@@ -1,9 +1,8 @@
 """Main text of web pages; site templates found by counting element subtrees per host.
 
-1. Every page is parsed into a tree (leniently: implied ends, unclosed tags). Elements that can only
-   be furniture are dropped by their tag, role, class or id.
-2. Site templates: every remaining element subtree outside the page's main element is hashed (tags and
-   text) and emitted once a page; Spark counts the pages by (host, hash) after partial sums.
+1. Every page is parsed into a tree (leniently: implied ends, unclosed tags).
+2. Site templates: every element subtree outside the page's main element is hashed (tags and text) and
+   emitted once a page; Spark counts the pages by (host, hash) after partial sums.
 3. Subtrees on at least ``share`` of a host's pages, and on ``least_pages`` pages, are that host's template.
    A page has a bounded number of subtrees, so a host has at most (subtrees a page / share) of them:
    the list that comes back to the pages is bounded by the size of a page, not by the host.
@@ -12,12 +11,16 @@
    host's distinct main elements: copies of an article are no template. A rest is told by the smallest hash
    of its 5-word runs, by ``KEYS`` hash functions that must all count enough, so near copies count as one.
 5. Each page is read once more without its host's template, and its blocks are joined.
+6. What counting cannot see, as it differs from page to page or stands on too few of them, goes by fixed
+   rules: elements that are furniture by their tag, role, class or id (menus, notices, reader comments).
 
 The main element is the outermost <article>, else <main>, else the body; it itself is never dropped.
 A body that is the main element has all of its subtrees counted by step 2.
 
 Defined cases: null or empty html gives the empty text; a null or relative url has the empty host;
-repeated rows are pages of their own; tags that are never closed end with their parent.
+repeated rows are pages of their own; tags that are never closed end with their parent; a tag or comment
+without its end takes the rest of the page; pages of any length are read whole; an empty table gives no
+rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,7 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trustloom.llm.common import checked, materialize
+from trustloom.llm.common import checked, discard, materialize
+from trustloom.llm.markup import attributes, tokens
 
 LEAST_PAGES = 4
 SHARE = 0.3
@@ -65,8 +69,8 @@ FURNITURE_WORDS = frozenset(
     "newsletter subscribe subscription signup signin login sidebar widget widgets menu menus nav navbar navigation breadcrumb breadcrumbs pagination pager footer "
     "masthead topbar toolbar comment comments disqus replies reply respond related recommended share sharing social popup modal overlay lightbox skip".split()
 )
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S)
-_ATTR = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?(?=[\s/]|$)", re.I)
+#: Elements nested deeper hang on the last one allowed, as in browsers.
+MAX_DEPTH = 512
 _WORD = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"[\s​﻿]+")
 
@@ -83,8 +87,8 @@ def _is_furniture(tag: str, attrs: str, in_main: bool) -> bool:
         return True
     if not attrs or tag in ("html", "body", "article", "main") and "comment" not in attrs.lower():
         return False
-    for m in _ATTR.finditer(attrs):
-        name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+    for name, value in attributes(attrs):
+        value = value.lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "role" and value in FURNITURE_ROLES):
             return True
         if name == "style" and "display:none" in value.replace(" ", ""):
@@ -95,27 +99,24 @@ def _is_furniture(tag: str, attrs: str, in_main: bool) -> bool:
 
 
 def parse(html: str) -> Node:
-    """The page's tree; text is str among the children."""
+    """The page's tree; text is str among the children. Linear in the page's length, as depth is bounded."""
     root = Node("#root")
-    stack, mains, at, n = [root], 0, 0, len(html)
-    match = _TOKEN.search
-    while at < n:
-        m = match(html, at)
-        if m is None:
-            stack[-1].children.append(html[at:])
-            break
-        if m.start() > at:
-            stack[-1].children.append(html[at : m.start()])
-        at = m.end()
-        tag = m[2]
-        if tag is None:
+    stack, mains = [root], 0
+
+    def close(i: int) -> None:
+        nonlocal mains
+        mains -= sum(x.tag in ("article", "main") for x in stack[i:])
+        del stack[i:]
+
+    for token in tokens(html, RAW):
+        if type(token) is str:
+            stack[-1].children.append(token)
             continue
-        tag = tag.lower()
-        if m[1]:
+        closing, tag, attrs, raw = token
+        if closing:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == tag:
-                    mains -= sum(x.tag in ("article", "main") for x in stack[i:])
-                    del stack[i:]
+                    close(i)
                     break
                 if tag in INLINE and stack[i].tag not in INLINE:
                     break  # a stray inline end does not close blocks
@@ -125,21 +126,16 @@ def parse(html: str) -> Node:
             for i in range(len(stack) - 1, 0, -1):
                 t = stack[i].tag
                 if t in ends:
-                    del stack[i:]
-                    if tag in ENDS and "tr" not in ends:
-                        break
-                    if tag not in ("tr",):
+                    close(i)
+                    if tag != "tr":
                         break
                 elif t in SCOPE and not (tag == "tr" and t in ("td", "th")):
                     break
-        if tag in RAW:
-            if not m[3].rstrip().endswith("/"):
-                end = re.compile(f"</{tag}\\s*>", re.I).search(html, at)
-                at = end.end() if end else n
+        if raw is not None:
             continue
-        node = Node(tag, _is_furniture(tag, m[3], mains > 0))
+        node = Node(tag, _is_furniture(tag, attrs, mains > 0))
         stack[-1].children.append(node)
-        if tag not in VOID and not m[3].rstrip().endswith("/"):
+        if tag not in VOID and not attrs.rstrip().endswith("/") and len(stack) < MAX_DEPTH:
             stack.append(node)
             mains += tag in ("article", "main")
     return root
@@ -268,7 +264,7 @@ def rest_keys(words: list[str], spans: list[tuple[int, int]]) -> np.ndarray:
 
 
 def text_of(nodes: list[Node], template: set[int]) -> str:
-    """Text of the nodes without furniture and template, blocks joined by one space."""
+    """Text of the nodes without template and furniture, blocks joined by one space."""
     out: list[str] = []
     todo: list = list(reversed(nodes))
     while todo:
@@ -285,12 +281,28 @@ def text_of(nodes: list[Node], template: set[int]) -> str:
     return _SPACE.sub(" ", unescape("".join(out))).strip()
 
 
+def dropped(root: Node, template: set[int]) -> int:
+    """Outermost subtrees of the page that are template."""
+    n, todo = 0, [root]
+    while todo:
+        x = todo.pop()
+        if x.hash is not None and x.hash in template:
+            n += 1
+        else:
+            todo += [c for c in x.children if type(c) is Node]
+    return n
+
+
 def host_of(url) -> F.Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
 def extract_main(pages: DataFrame, share: float = SHARE, least_pages: int = LEAST_PAGES) -> DataFrame:
-    """One row per row of ``pages`` (page_id, url, html): page_id, url, text, n_chars."""
+    """One row per row of ``pages`` (page_id, url, html): page_id, url, text, n_chars, n_template.
+
+    ``n_template`` counts the page's outermost subtrees that recur on its host. A ``share`` above 1 turns
+    counting off: only the fixed rules for furniture are left.
+    """
     pages = pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")).withColumn("host", host_of(F.col("url")))
 
     def subtrees(batches):
@@ -326,32 +338,36 @@ def extract_main(pages: DataFrame, share: float = SHARE, least_pages: int = LEAS
     counted = emitted.groupBy("host", "hash", "kind", "key").agg(F.count(F.lit(1)).alias("pages")).groupBy("host", "hash", "kind").agg(F.sum("pages").alias("pages"), F.count(F.lit(1)).alias("mains"))
     n = F.when(F.col("kind") < 0, F.col("pages")).otherwise(F.col("mains"))
     counted = counted.select("host", "hash", "kind", n.alias("n")).where((F.col("n") >= least_pages) | (F.col("kind") == KEYS))
-    counts, _ = materialize(counted, "subtrees")
+    counts, counts_path = materialize(counted, "subtrees")
     of_host = pages.groupBy("host").agg(F.count(F.lit(1)).alias("all")).withColumn("outside", F.lit(True))
     of_host = of_host.unionByName(counts.where(F.col("kind") == KEYS).select("host", F.col("n").alias("all"), F.lit(False).alias("outside")))
     often = counts.where(F.col("kind") < KEYS).withColumn("outside", F.col("kind") < 0).join(of_host, ["host", "outside"]).where(F.col("n") >= F.lit(share) * F.col("all"))
     often = often.groupBy("host", "hash", "outside").agg(F.count(F.lit(1)).alias("kinds")).where(F.col("outside") | (F.col("kinds") == KEYS))
     templates = materialize(often.groupBy("host").agg(F.collect_set("hash").alias("template")), "templates")
+    discard(pages.sparkSession, counts_path)
+    # a host above the broadcast limit is split by Spark's skew handling, which copies its one row of templates
     joined = pages.join(checked(templates), "host", "left").select("page_id", "url", "html", "template")
     kind = pages.schema["page_id"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
-            texts = []
+            texts, removed = [], []
             for html, template in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 if not html:
                     texts.append("")
+                    removed.append(0)
                     continue
                 root = parse(html)
-                nodes = main_nodes(root)
-                if template:
-                    if nodes == [root]:
-                        hash_subtrees(root, nodes)
-                    else:
+                nodes, known = main_nodes(root), set(template or ())
+                if known:
+                    hash_subtrees(root, nodes)
+                    if nodes != [root]:
                         hash_main(nodes)
-                texts.append(text_of(nodes, set(template or ())))
+                texts.append(text_of(nodes, known))
+                removed.append(dropped(root, known) if known else 0)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"]
+                [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()), pa.array(removed, pa.int64())],
+                ["page_id", "url", "text", "n_chars", "n_template"],
             )
 
-    return joined.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars bigint")
+    return joined.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars bigint, n_template bigint")

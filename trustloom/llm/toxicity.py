@@ -118,8 +118,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, ma
 
     ``grades_by_density``: for labels that only say toxic or not, so many severity grades are DERIVED for the
     toxic rows. The sample is halved by a hash of the id; each half's words that speak for toxicity are
-    found from its labels alone, and a toxic row is graded by the share of its words that the OTHER half
-    found: the words that grade a row were not chosen by looking at it. Quantiles of that share are the grades.
+    found from its labels alone, and a toxic row is graded by how many different words it holds that the OTHER
+    half found: the words that grade a row were not chosen by looking at it. Quantiles of that number are the grades.
     """
     spark = docs.sparkSession
     graded = labels.where(F.col("doc_id").isNotNull() & F.col("grade").isNotNull()).groupBy("doc_id").agg(F.max("grade").cast("int").alias("grade"))
@@ -157,21 +157,21 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, ma
     def design(batches):
         for batch in batches:
             at, speak = wanted.value
-            cols, share = [], []
+            cols, held = [], []
             for fs, half in zip(batch.column("features").to_pylist(), batch.column("half").to_pylist(), strict=True):
                 cols.append([at[f] for f in fs if f in at])
-                share.append(sum(f in speak[half] for f in fs) / max(1, len(fs)))
-            yield pa.RecordBatch.from_arrays([batch.column("grade"), pa.array(share, pa.float64()), pa.array(cols, pa.list_(pa.int32()))], ["grade", "share", "cols"])
+                held.append(sum(f in speak[half] for f in fs))
+            yield pa.RecordBatch.from_arrays([batch.column("grade"), pa.array(held, pa.int32()), pa.array(cols, pa.list_(pa.int32()))], ["grade", "held", "cols"])
 
-    got = table.mapInArrow(design, "grade int, share double, cols array<int>").collect()  # sample_rows at most
+    got = table.mapInArrow(design, "grade int, held int, cols array<int>").collect()  # sample_rows at most
     discard(spark, path, counted_path)
-    got.sort(key=lambda r: (r["grade"], r["share"], sorted(r["cols"])))
+    got.sort(key=lambda r: (r["grade"], r["held"], sorted(r["cols"])))
     rows_ = [sorted(r["cols"]) for r in got]
     grades = np.array([max(0, r["grade"]) for r in got])
     if grades_by_density > 1:
-        share = np.array([r["share"] for r in got])
-        cuts = np.quantile(share[grades > 0], np.linspace(0, 1, grades_by_density + 1)[1:-1])
-        grades = np.where(grades > 0, 1 + (share[:, None] > cuts[None, :]).sum(axis=1), 0)
+        held = np.array([r["held"] for r in got])
+        cuts = np.quantile(held[grades > 0], np.linspace(0, 1, grades_by_density + 1)[1:-1])
+        grades = np.where(grades > 0, 1 + (held[:, None] > cuts[None, :]).sum(axis=1), 0)
     levels = np.unique(grades)
     weights, theta = fit_ordinal(rows_, np.searchsorted(levels, grades), len(at), len(levels))
     return OrdinalModel({f: float(weights[i]) for f, i in at.items()}, [float(x) for x in theta])
