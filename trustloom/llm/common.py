@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from trustloom.storage import BROADCAST_BYTES, checked, discard, materialize, written_bytes
 
-__all__ = ["BROADCAST_BYTES", "SPACES", "checked", "discard", "fresh", "materialize", "partitions_for", "small_batches", "table", "written_bytes"]
+__all__ = ["BROADCAST_BYTES", "SPACES", "checked", "discard", "fresh", "materialize", "partitions_for", "small_batches", "table", "whole_ids", "written_bytes"]
 
 #: Rows of an Arrow batch, unless the session sets its own: whole texts make the default of 10,000 too many.
 ARROW_ROWS = 2000
@@ -36,6 +37,12 @@ def partitions_for(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def whole_ids(df: DataFrame, name: str = "doc_id") -> None:
+    """Refuses ids that are no whole numbers; a cast could make two of them equal."""
+    if not isinstance(df.schema[name].dataType, T.IntegralType):
+        raise ValueError(f"{name} must be of a whole-number type, not {df.schema[name].dataType.simpleString()}")
+
+
 def fresh(taken: Iterable[str], *names: str) -> list[str]:
     """The names, each with as many underscores before it as it takes to differ from every one in ``taken``."""
     low = {t.lower() for t in taken}

@@ -12,14 +12,18 @@ super-k-mer.
 3. In a bucket the windows of all strings are sorted, which puts equal ones together, and each string
    gets for each of its windows the smallest id of a document in which it starts. A bucket with more
    than ``hot`` windows in different strings is not sorted in one task: its windows go on by 128-bit
-   digests, merged before the shuffle, so that the bucket is spread by its windows.
+   digests, with the smallest id taken before the shuffle. A window that makes up more than one in
+   ``SHARE`` of all such windows, of which there are fewer than ``SHARE``, gets its smallest id by broadcast;
+   the others join it by digest, so no window is gathered in one task.
 4. Places whose window has a smaller document than their own come back to it as word ranges.
 
-Words are compared as bytes; hashes (64-bit grams, 128-bit names of packed strings) only route.
+Windows of a bucket are compared as bytes, those of hot buckets and whole packed strings by 128-bit
+digests. 64-bit hashes of grams only route, and tell rows of one doc_id apart.
 
 Defined cases: a null text has no words; shorter texts than a window lose nothing; rows with one
 doc_id never remove each other's words, and each is cut by its own text; a null doc_id is larger than
-every id; an empty table gives no rows.
+every id; ids are whole numbers below 2^63 - 1, other types are refused; texts of any length are read
+whole; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,13 +36,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trustloom.llm.common import discard, materialize
+from trustloom.llm.common import discard, materialize, whole_ids
 from trustloom.llm.words import chunks, signed
 
 WINDOW = 50
 SEED_WORDS = 12
 #: Windows of different strings of one minimiser that are still sorted in one task.
 HOT = 50_000
+#: One in so many of the windows of hot buckets makes a window frequent.
+SHARE = 1000
 NO_ID = (1 << 63) - 1
 
 
@@ -157,7 +163,7 @@ def _count(strings: DataFrame, window: int) -> DataFrame:
     return strings.select("bucket", "name", "packed", "first").mapInArrow(run, "name binary, firsts array<bigint>")
 
 
-def _count_spread(strings: DataFrame, window: int) -> DataFrame:
+def _count_spread(strings: DataFrame, window: int, share: int = SHARE) -> DataFrame:
     """The same as ``_count`` for hot buckets: windows by digest, spread over all tasks."""
 
     def run(batches):
@@ -173,21 +179,27 @@ def _count_spread(strings: DataFrame, window: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["w", "name", "j", "first"])
 
     windows, _ = materialize(strings.select("name", "packed", "first").mapInArrow(run, "w binary, name binary, j int, first bigint"), "windows")
-    least = windows.groupBy("w").agg(F.min("first").alias("least"))
-    each = windows.join(least, "w").groupBy("name").agg(F.sort_array(F.collect_list(F.struct("j", "least"))).alias("x"))
+    least, _ = materialize(windows.groupBy("w").agg(F.min("first").alias("least"), F.count(F.lit(1)).alias("n")), "least")
+    total = least.agg(F.sum("n")).first()[0] or 0
+    frequent = least.where(F.col("n") * share > F.lit(total)).select("w", F.col("least").alias("often"))  # fewer than share rows
+    split = windows.join(F.broadcast(frequent), "w", "left")
+    known = split.where(F.col("often").isNotNull()).select("name", "j", F.col("often").alias("least"))
+    rest = split.where(F.col("often").isNull()).select("w", "name", "j").join(least.select("w", "least"), "w").select("name", "j", "least")
+    each = known.unionByName(rest).groupBy("name").agg(F.sort_array(F.collect_list(F.struct("j", "least"))).alias("x"))
     return each.select("name", F.col("x.least").alias("firsts"))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, seed_words: int = SEED_WORDS, hot: int = HOT, with_text: bool = True) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): n_words, n_removed, kept_sha256 and the kept words."""
+    whole_ids(docs)
     kind = docs.schema["doc_id"].dataType.simpleString()
     docs = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     docs = docs.withColumn("id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn("key", F.xxhash64("id", "text"))
     seeds, seeds_path = materialize(_seeds(docs.select("id", "key", "text"), window, seed_words), "seeds")
     shared = seeds.groupBy("seed").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where(F.col("lo") < F.col("hi")).select("seed")
-    runs, _ = materialize(seeds.join(shared, "seed").groupBy("key").agg(F.collect_set(F.struct("place", "n", "seed")).alias("runs")), "runs")
+    runs, runs_path = materialize(seeds.join(shared, "seed").groupBy("id", "key").agg(F.collect_set(F.struct("place", "n", "seed")).alias("runs")), "runs")
     discard(docs.sparkSession, seeds_path)
-    packed, packed_path = materialize(_pack(docs.join(runs, "key").select("id", "key", "text", "runs"), window), "packed")
+    packed, packed_path = materialize(_pack(docs.join(runs, ["id", "key"]).select("id", "key", "text", "runs"), window), "packed")
     crowded = packed.select("bucket", "name", "n").distinct().groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") > hot).select("bucket")
     crowded, _ = materialize(crowded, "crowded")
     strings = packed.groupBy("bucket", "name", "packed").agg(F.min("id").alias("first"))
@@ -200,10 +212,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, seed_words: int = SEED
     places = packed.select("name", "id", "key", "place").join(counted, "name")
     cut = F.filter(F.transform("firsts", lambda f, i: F.when(f < F.col("id"), F.col("place") + i)), lambda p: p.isNotNull())
     ranges, _ = materialize(
-        places.select("key", cut.alias("cut")).where(F.size("cut") > 0).groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("cut"))).alias("cut")), "cuts"
+        places.select("id", "key", cut.alias("cut")).where(F.size("cut") > 0).groupBy("id", "key").agg(F.array_distinct(F.flatten(F.collect_list("cut"))).alias("cut")), "cuts"
     )
-    discard(docs.sparkSession, packed_path)
-    joined = docs.join(ranges, "key", "left").select("doc_id", "text", "cut")
+    discard(docs.sparkSession, packed_path, runs_path)
+    joined = docs.join(ranges, ["id", "key"], "left").select("doc_id", "text", "cut")
 
     def finish(batches):
         for batch in batches:
