@@ -30,3 +30,36 @@ def test_absent_terms_give_no_anchor_but_may_be_passed_over():
     counts = {b"a": 1, b"b": 2, b"c": 3}
     assert decontam.anchors(item, counts) == []
     assert decontam.anchors(item, counts, slop=2) == [(0, b"a", 0, b"b", 1), (0, b"a", 0, b"c", 3), (0, b"b", 1, b"c", 3)]
+
+
+def test_proximity_equals_brute_force(spark):
+    """Every alignment of every item with every document, compared word by word."""
+    import random
+
+    r = random.Random(3)
+    word = lambda: f"w{r.randrange(60)}"
+    items = [(i, [word() for _ in range(r.choice([3, 9, 13, 20]))]) for i in range(12)]
+    docs = []
+    for i in range(60):
+        w = list(r.choice(items)[1])
+        for _ in range(r.randrange(5)):
+            at = r.randrange(len(w) + 1)
+            if r.random() < 0.5:
+                w.insert(at, word())
+            elif len(w) > 2:
+                del w[min(at, len(w) - 1)]
+        docs.append((i, [word() for _ in range(r.randrange(20))] + w + [word() for _ in range(r.randrange(20))]))
+    made = lambda rows, name: spark.createDataFrame([(i, " ".join(w)) for i, w in rows], f"{name} bigint, text string")
+    for slop in (1, 2):
+        got = {x["doc_id"]: (x["n_items"], x["n_near"]) for x in decontam.decontaminate(made(docs, "doc_id"), made(items, "item_id"), slop=slop, block_bytes=400).collect()}
+        for i, w in docs:
+            text = [x.encode() for x in w]
+            exact, near = set(), set()
+            for k, item in items:
+                it = [x.encode() for x in item]
+                for delta in range(-len(it), len(text)):
+                    if decontam.phrase_hits(text, it, delta, decontam.WINDOW):
+                        exact.add(k)
+                    if decontam.is_near(text, it, delta, decontam.WINDOW, slop):
+                        near.add(k)
+            assert got[i] == (len(exact), len(near - exact))

@@ -5,17 +5,24 @@
    other places as anchors. Neighbouring phrases mostly share them, so an item has a few anchor pairs.
 3. Store the postings (term, document, positions) of the anchor terms of all documents as a table.
 4. Intersect the offset-adjusted lists: the postings of both anchors, each less the anchor's place in
-   the item, have the alignments of item and document in common. With ``slop``, alignments within
-   ``slop`` of each other are candidates of proximity matches.
-5. Every document goes over its own alignments once more and compares whole words, so hits are exact.
+   the item, have the alignments of item and document in common. With ``slop``, all alignments up to
+   ``slop`` away from where an anchor stands are candidates of proximity matches.
+5. Documents with alignments are read once more and compared word by word, so hits are exact. What comes
+   back is a row (document, item, ranges of words).
 
-The test items are the query set: they are read in blocks of ``block_bytes``, each small enough to be
-shipped to all tasks; the documents never are. Joins are by (document, term) or by term, whose
-postings are spread by Spark's skew handling; no group is gathered but a document's own alignments.
+The test items are the query set: they are read in blocks of ``block_bytes``. A task holds one block's terms
+or items at a time, whatever the number of blocks; a block costs two readings of the corpus and one of
+the documents with alignments. Its anchors are broadcast below the limit of ``common.checked``. Joins are
+by (document, term) or by term, whose postings are spread by Spark's skew handling; no group is
+gathered but a document's own alignments and hits.
+
+A proximity match: an alignment at which all but ``slop`` words of a phrase, two at least, stand within
+``slop`` words of their places.
 
 Defined cases: a null text has no words and no hit; an item without words is in no document; a null
 doc_id is matched with itself; repeated rows each get the result; item ids are compared as strings, a
-null one as the empty string, and equal ids count once. An empty table of items leaves all clean.
+null one as the empty string, and equal ids count once. An empty table of items leaves all clean, an empty
+table of documents gives no rows; texts of any length are read whole; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trustloom.llm.common import checked, materialize
+from trustloom.llm.common import checked, discard, materialize
 from trustloom.llm.words import ALNUM
 
 WINDOW = 13
@@ -96,9 +103,8 @@ def anchors(block: list[tuple[str, list[bytes]]], counts: dict[bytes, int], wind
 
 
 def postings(docs: DataFrame, terms: set[bytes]) -> DataFrame:
-    """The index: (doc_id, term, positions) of ``terms`` in all documents."""
+    """The index: (key, term, positions) of ``terms`` in all documents."""
     known = docs.sparkSession.sparkContext.broadcast(terms)
-    kind = docs.schema["doc_id"].dataType.simpleString()
 
     def index(batches):
         wanted = known.value
@@ -116,32 +122,27 @@ def postings(docs: DataFrame, terms: set[bytes]) -> DataFrame:
                 terms_out += lists
                 places += lists.values()
             yield pa.RecordBatch.from_arrays(
-                [ids.take(pa.array(of, pa.int64())), pa.array(terms_out, pa.binary()), pa.array(places, pa.list_(pa.int32()))], ["doc_id", "term", "positions"]
+                [ids.take(pa.array(of, pa.int64())), pa.array(terms_out, pa.binary()), pa.array(places, pa.list_(pa.int32()))], ["key", "term", "positions"]
             )
 
-    return docs.select("doc_id", "text").mapInArrow(index, f"doc_id {kind}, term binary, positions array<int>")
+    return docs.select("key", "text").mapInArrow(index, "key bigint, term binary, positions array<int>")
 
 
 def alignments(index: DataFrame, pairs: DataFrame, slop: int = 0) -> DataFrame:
-    """(doc_id, item, delta, exact) where both anchors of a pair stand at ``delta`` plus their places.
+    """(key, item, delta, exact) where both anchors of a pair stand at ``delta`` plus their places.
 
-    With ``slop`` above 0, also (exact false) where the second anchor is off by up to ``slop`` words.
+    With ``slop`` above 0, also (exact false) all up to ``slop`` away from one anchor and from the other.
     """
-    first = index.join(pairs, index["term"] == pairs["term1"]).select(
-        "doc_id", "item", "term2", "p2", F.transform("positions", lambda p: p - F.col("p1")).alias("d1")
-    )
-    alone = first.where(F.col("term2").isNull()).select("doc_id", "item", F.col("d1").alias("d"), F.lit(True).alias("exact"))
-    second = index.select(F.col("doc_id").alias("_doc"), F.col("term").alias("_term"), F.col("positions").alias("_p"))
-    both = first.join(second, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("term2") == F.col("_term")))
-    both = both.select("doc_id", "item", "d1", F.transform("_p", lambda p: p - F.col("p2")).alias("d2"))
-    found = alone.unionByName(both.select("doc_id", "item", F.array_intersect("d1", "d2").alias("d"), F.lit(True).alias("exact")))
+    first = index.join(pairs, index["term"] == pairs["term1"]).select("key", "item", "term2", "p2", F.transform("positions", lambda p: p - F.col("p1")).alias("d1"))
+    alone = first.where(F.col("term2").isNull()).select("key", "item", F.col("d1").alias("d"), F.lit(True).alias("exact"))
+    second = index.select(F.col("key").alias("_key"), F.col("term").alias("_term"), F.col("positions").alias("_p"))
+    both = first.join(second, (F.col("key") == F.col("_key")) & (F.col("term2") == F.col("_term")))
+    both = both.select("key", "item", "d1", F.transform("_p", lambda p: p - F.col("p2")).alias("d2"))
+    found = alone.unionByName(both.select("key", "item", F.array_intersect("d1", "d2").alias("d"), F.lit(True).alias("exact")))
     if slop:
-        near = F.array_except(
-            F.array_intersect("d1", F.array_distinct(F.flatten(F.transform("d2", lambda d: F.sequence(d - slop, d + slop))))),
-            F.array_intersect("d1", "d2"),
-        )
-        found = found.unionByName(both.select("doc_id", "item", near.alias("d"), F.lit(False).alias("exact")))
-    return found.select("doc_id", "item", F.explode("d").alias("delta"), "exact").distinct()
+        around = lambda name: F.array_distinct(F.flatten(F.transform(name, lambda d: F.sequence(d - slop, d + slop))))
+        found = found.unionByName(both.select("key", "item", F.array_intersect(around("d1"), around("d2")).alias("d"), F.lit(False).alias("exact")))
+    return found.select("key", "item", F.explode("d").alias("delta"), "exact").distinct()
 
 
 def phrase_hits(words: list[bytes], item: list[bytes], delta: int, window: int) -> list[tuple[int, int]]:
@@ -169,53 +170,85 @@ def is_near(words: list[bytes], item: list[bytes], delta: int, window: int, slop
     return any(sum(there[at : at + n]) >= max(2, n - slop) for at in range(len(item) - n + 1))
 
 
+def _hits(docs: DataFrame, block: list[tuple[str, list[bytes]]], window: int, slop: int) -> DataFrame:
+    """(doc_id, key, item, spans) of a block's items: ranges of hit words, or none for a proximity match."""
+    spark = docs.sparkSession
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    counts = term_counts(docs, {w for _, words in block for w in words})
+    pairs = anchors(block, counts, window, slop)
+    schema = f"doc_id {kind}, key bigint, item string, spans array<struct<a:int,b:int>>"
+    if not pairs:
+        return spark.createDataFrame([], schema)
+    index, index_path = materialize(postings(docs, {t for a in pairs for t in (a[1], a[3]) if t is not None}), "postings")
+    rows = materialize(spark.createDataFrame(pairs, "item int, term1 binary, p1 int, term2 binary, p2 int"), "anchors")
+    found = alignments(index, checked(rows), slop).groupBy("key").agg(F.collect_list(F.struct("item", "delta", "exact")).alias("found"))
+    side = materialize(found.withColumnRenamed("key", "_key"), "alignments")
+    discard(spark, index_path, rows[1])
+    joined = docs.join(checked(side), F.col("key") == F.col("_key")).select("doc_id", "key", "text", "found")
+    items = spark.sparkContext.broadcast(block)
+
+    def compare(batches):
+        every = items.value
+        for batch in batches:
+            of, names, spans = [], [], []
+            for i, (text, places) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
+                words = tokens(text)
+                hit: dict[str, list] = {}
+                close: set[str] = set()
+                for f in places:
+                    name, item = every[f["item"]]
+                    if f["exact"]:
+                        if at := phrase_hits(words, item, f["delta"], window):
+                            hit.setdefault(name, []).extend(at)
+                    elif name not in close and is_near(words, item, f["delta"], window, slop):
+                        close.add(name)
+                found = list(hit.items()) + [(name, []) for name in sorted(close - set(hit))]
+                of += [i] * len(found)
+                names += [name for name, _ in found]
+                spans += [[{"a": a, "b": b} for a, b in at] for _, at in found]
+            row = pa.array(of, pa.int64())
+            kinds = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), pa.array(names, pa.string()), pa.array(spans, kinds)], ["doc_id", "key", "item", "spans"])
+
+    hits, _ = materialize(joined.mapInArrow(compare, schema), "hits")
+    items.destroy()
+    discard(spark, side[1])
+    return hits
+
+
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, slop: int = 0, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document: n_words, n_hit, n_items, items_sha256, items, n_near, contaminated.
 
-    ``n_near``: items with a proximity match (``is_near``) and no exact phrase (0 if slop is 0).
+    ``n_near``: items with a proximity match and no exact phrase (0 if slop is 0).
     """
-    spark = docs.sparkSession
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    blocks, parts, n = [], [], 0
+    keyed = docs.withColumn("key", F.xxhash64("doc_id", "text"))  # rows of one id and different texts are told apart
+    hits = None
     for block in _blocks(items, block_bytes):
-        counts = term_counts(docs, {w for _, words in block for w in words})
-        pairs = anchors(block, counts, window, slop)
-        if pairs:
-            table, path = materialize(postings(docs, {t for a in pairs for t in (a[1], a[3]) if t is not None}), "postings")
-            rows = spark.createDataFrame([(k + n, t1, p1, t2, p2) for k, t1, p1, t2, p2 in pairs], "item int, term1 binary, p1 int, term2 binary, p2 int")
-            parts.append(alignments(table, F.broadcast(rows), slop))  # a block's anchors: bounded by block_bytes
-        blocks.append(spark.sparkContext.broadcast(block))
-        n += len(block)
-    if parts:
-        all_parts = parts[0]
-        for p in parts[1:]:
-            all_parts = all_parts.unionByName(p)
-        per_doc = all_parts.groupBy("doc_id").agg(F.collect_list(F.struct("item", "delta", "exact")).alias("found"))
-        side = materialize(per_doc.withColumnRenamed("doc_id", "_doc"), "alignments")
-        joined = docs.join(checked(side), F.col("doc_id").eqNullSafe(F.col("_doc")), "left").drop("_doc")
+        found = _hits(keyed, block, window, slop)
+        hits = found if hits is None else hits.unionByName(found)
+    found_type = "array<struct<item:string,spans:array<struct<a:int,b:int>>>>"
+    if hits is None:
+        joined = docs.withColumn("found", F.lit(None).cast(found_type))
     else:
-        joined = docs.withColumn("found", F.lit(None).cast("array<struct<item:int,delta:int,exact:boolean>>"))
+        per_doc = hits.groupBy("doc_id", "key").agg(F.collect_list(F.struct("item", "spans")).alias("found"))
+        side = materialize(per_doc.select(F.col("doc_id").alias("_doc"), F.col("key").alias("_key"), "found"), "found")
+        joined = keyed.join(checked(side), F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("key") == F.col("_key")), "left").select("doc_id", "text", "found")
 
     def judge(batches):
-        every = [x for b in blocks for x in b.value]
         for batch in batches:
             n_words, n_hit, n_items, near, names = [], [], [], [], []
             for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                words = tokens(text)
-                hit, there, close = set(), set(), set()
+                n_words.append(len(tokens(text)))
+                hit: set[int] = set()
+                there = {f["item"] for f in found or () if f["spans"]}
                 for f in found or ():
-                    name, item = every[f["item"]]
-                    if spans := phrase_hits(words, item, f["delta"], window) if f["exact"] else ():
-                        there.add(name)
-                        for a, b in spans:
-                            hit.update(range(a, b))
-                    elif slop and name not in close and is_near(words, item, f["delta"], window, slop):
-                        close.add(name)
-                n_words.append(len(words))
+                    for s in f["spans"]:
+                        hit.update(range(s["a"], s["b"]))
                 n_hit.append(len(hit))
                 n_items.append(len(there))
-                near.append(len(close - there))
+                near.append(len({f["item"] for f in found or ()} - there))
                 names.append(sorted(there))
             yield pa.RecordBatch.from_arrays(
                 [
