@@ -361,16 +361,38 @@ def brute_near(rows, percent=85):
     return {i: (len(sets[i]), comp[i], comp[i] == i) for i in sets}
 
 
-@pytest.mark.parametrize("crowd", [2000, 3])
-def test_near_duplicates(docs, none, rows, crowd):
+@pytest.mark.parametrize("block", [1000, 1, 2])
+def test_near_duplicates(docs, none, rows, block):
     want = brute_near(rows)
-    got = neardup.near_duplicates(docs, crowd=crowd).collect()
+    got = neardup.near_duplicates(docs, least_block=block, block=block).collect()
     assert len(got) == len(rows)
     assert all((x["n_shingles"], x["component_id"], x["kept"]) == want[x["doc_id"]] for x in got)
-    if crowd > 100:
+    if block > 100:
         assert neardup.near_duplicates(none).count() == 0
 
 
+@pytest.mark.parametrize("block", [1000, 3])
+def test_near_duplicates_of_a_crowd(spark, block):
+    """Many texts that share bands, in clusters whose edges are at the threshold: blocks lose no link."""
+    r = random.Random(21)
+    base, rows = prose(r, 120).split(), []
+    for i in range(90):
+        w = list(base)
+        for _ in range(r.choice([0, 1, 1, 2, 2, 3])):
+            w[r.randrange(120)] = f"q{r.randrange(12)}"
+        rows.append((i, " ".join(w)))
+    r.shuffle(rows)
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), least_block=block, block=block).collect()
+    assert {x["doc_id"]: (x["n_shingles"], x["component_id"], x["kept"]) for x in got} == brute_near(rows)
+
+
+def test_ids_of_other_types_are_refused(spark):
+    df = spark.createDataFrame([("a", "b")], "doc_id string, text string")
+    for f in (neardup.near_duplicates, substring_dedup.remove_repeats):
+        with pytest.raises(ValueError):
+            f(df)
+
+
 def test_near_duplicate_chain(spark):
     """A chain whose ends are not alike is one component, though its smallest member links to one only."""
     r = random.Random(9)

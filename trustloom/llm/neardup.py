@@ -13,15 +13,18 @@
    product, and only links that join two components are emitted, fewer than the bucket has members.
 5. Components come from alternating large and small stars, as joins and aggregations over the links.
 
-A bucket with more than ``CROWD`` members in several components is split first: each member takes
-``SPLITS`` keys of ``SPLIT_ROWS`` further samples, and meets those with which it shares one. All links are
-judged on full sets, in the star step by reading both texts.
+A large bucket is never one task: its members are dealt into blocks, and every two blocks (and every block
+by itself) are a group of their own, of at most ``2 * BLOCK`` members, so each pair of members meets in
+some group and no bucket size changes a result. All links are judged on full sets, in the star step by
+reading both texts. A pair at the threshold shares no band, and is missed, with probability below 3e-7.
 
 Defined cases: a null or empty text has the empty set, is in a component of its own and is kept; fewer
 words than a shingle are one shingle; repeated rows and equal texts are one class, of which the
 smallest doc_id is kept (rows repeated with that id are all marked kept); of rows with one id and
 several texts, each has its own set size, and the smallest text is the one compared; a null doc_id is larger than
-every other and a null component is given back for it. Shingles are told apart by 64-bit hashes.
+every other and a null component is given back for it. Ids are whole numbers below 2^63 - 1, other types
+are refused. Texts of any length are read whole; an empty table gives no rows; other columns are ignored.
+Shingles are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -32,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from trustloom.llm.common import checked, discard, materialize, partitions_for, written_bytes
+from trustloom.llm.common import checked, discard, materialize, partitions_for, whole_ids, written_bytes
 from trustloom.llm.words import U, chunks, mix, signed
 
 SHINGLE = 5
@@ -40,8 +43,8 @@ PERCENT = 85
 BANDS, ROWS = 26, 5
 SKETCH_BITS = 512
 MARGIN = 6.0
-CROWD = 2000
-SPLITS, SPLIT_ROWS = 48, 10
+#: Members of a block, at least and at most; a bucket that fits into the least is one group.
+LEAST_BLOCK, BLOCK = 256, 1000
 NO_ID = (1 << 63) - 1
 
 _SEEDS = mix(np.arange(1, 2048, dtype=np.uint64) * U(0x9E3779B97F4A7C15))
@@ -148,29 +151,6 @@ def signatures(docs: DataFrame, extra: bool = False) -> DataFrame:
     return docs.select("id", "text").mapInArrow(run, "id bigint, c1 bigint, c2 bigint, n_shingles bigint, bands array<bigint>, sketch binary")
 
 
-def _crowd_keys(texts: DataFrame) -> DataFrame:
-    """(id, crowd, keys): ``SPLITS`` keys of ``SPLIT_ROWS`` samples none of which a band uses."""
-
-    def run(batches):
-        for batch in batches:
-            for c in chunks(batch.column(1), lower=True):
-                grams, starts = shingle_sets(c)
-                samples = minhashes(grams, starts, SPLITS * SPLIT_ROWS, BANDS * ROWS).reshape(c.n_texts, SPLITS, SPLIT_ROWS)
-                acc = np.zeros((c.n_texts, SPLITS), dtype=U)
-                for r in range(SPLIT_ROWS):
-                    acc = mix(acc * U(0x9E3779B97F4A7C15) + samples[:, :, r].astype(U) + U(r + 1))
-                keys = mix(acc + _SEEDS[:SPLITS][None, :])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(c.first, c.n_texts),
-                        pa.ListArray.from_arrays(pa.array(np.arange(c.n_texts + 1, dtype=np.int32) * SPLITS), pa.array(signed(keys.ravel()), pa.int64())),
-                    ],
-                    ["id", "keys"],
-                )
-
-    return texts.select("id", "text").mapInArrow(run, "id bigint, keys array<bigint>")
-
-
 def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets reach ``percent``; both texts travel by id, by pair."""
     left, right = texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
@@ -257,22 +237,34 @@ def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
     return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
 
 
-def _open_members(members: DataFrame, most_bits: int) -> DataFrame:
-    """(bucket, id, comp) of the members to whose sketch one of another component is near enough."""
+def _groups(members: DataFrame, least: int, most: int) -> DataFrame:
+    """(grp, side, id, comp, sketch) of (bucket, n, id, ...): the pairs of blocks in which a bucket's members meet.
+
+    ``side`` is 0 or 1 where two blocks meet, and 2 in the group of one block.
+    """
+    size = F.greatest(F.lit(least), F.least(F.lit(most), (F.col("n") / 16).cast("long")))
+    blocks = F.ceil(F.col("n") / size).cast("long")
+    dealt = members.withColumn("_b", F.pmod(F.xxhash64("id"), blocks)).withColumn("_o", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    side = F.when(F.col("_b") == F.col("_o"), 2).when(F.col("_b") < F.col("_o"), 0).otherwise(1)
+    return dealt.select(F.xxhash64("bucket", F.least("_b", "_o"), F.greatest("_b", "_o")).alias("grp"), side.cast("byte").alias("side"), "id", "comp", "sketch")
+
+
+def _open_members(groups: DataFrame, most_bits: int) -> DataFrame:
+    """(grp, id, comp) of the members to whose sketch one of another component is near enough."""
 
     def run(batches):
         out: list[pa.RecordBatch] = []
         rows = 0
         for group in _buckets(batches):
-            comp, cells = group.column(2).to_numpy(), group.column(3)
-            sk = np.frombuffer(b"".join(cells.to_pylist()), dtype=np.uint64).reshape(len(comp), -1)
+            comp, side = group.column(2).to_numpy(), group.column(3).to_numpy()
+            sk = np.frombuffer(b"".join(group.column(4).to_pylist()), dtype=np.uint64).reshape(len(comp), -1)
             near = np.zeros(len(comp), dtype=bool)
-            for i in range(len(comp)):
-                if not near[i]:
-                    hit = (np.bitwise_count(sk ^ sk[i]).sum(axis=1, dtype=np.int64) <= most_bits) & (comp != comp[i])
-                    if hit.any():
-                        near |= hit
-                        near[i] = True
+            rest = np.flatnonzero(side != 0)  # one against the other side, or a block against itself
+            for i in np.flatnonzero(side != 1):
+                hit = (np.bitwise_count(sk[rest] ^ sk[i]).sum(axis=1, dtype=np.int64) <= most_bits) & (comp[rest] != comp[i])
+                if hit.any():
+                    near[rest[hit]] = True
+                    near[i] = True
             if near.any():
                 out.append(group.select([0, 1, 2]).filter(pa.array(near)))
                 rows += out[-1].num_rows
@@ -282,8 +274,8 @@ def _open_members(members: DataFrame, most_bits: int) -> DataFrame:
         if out:
             yield from pa.Table.from_batches(out).to_batches()
 
-    ordered = members.select("bucket", "id", "comp", "sketch").repartition("bucket").sortWithinPartitions("bucket", "id")
-    return ordered.mapInArrow(run, "bucket bigint, id bigint, comp bigint")
+    ordered = groups.select("grp", "id", "comp", "side", "sketch").repartition("grp").sortWithinPartitions("grp", "id")
+    return ordered.mapInArrow(run, "grp bigint, id bigint, comp bigint")
 
 
 def shingle_table(texts: DataFrame) -> DataFrame:
@@ -348,7 +340,7 @@ def spanning_links(ids: np.ndarray, comp: np.ndarray, sets: list[np.ndarray], pe
 
 
 def _links_inside(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of ``spanning_links`` in every bucket."""
+    """(a, b) of ``spanning_links`` in every group."""
 
     def run(batches):
         found: list[tuple[int, int]] = []
@@ -357,13 +349,14 @@ def _links_inside(members: DataFrame, sets: DataFrame, percent: int) -> DataFram
             found += spanning_links(ids, comp, [np.frombuffer(x, dtype=U) for x in group.column(3).to_pylist()], percent)
         yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], ["a", "b"])
 
-    full = members.join(sets, "id").select("bucket", "id", "comp", "shingles")
-    return full.repartition("bucket").sortWithinPartitions("bucket", "id").mapInArrow(run, "a bigint, b bigint").distinct()
+    full = members.join(sets, "id").select("grp", "id", "comp", "shingles")
+    return full.repartition("grp").sortWithinPartitions("grp", "id").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT, crowd: int = CROWD) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, least_block: int = LEAST_BLOCK, block: int = BLOCK) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): n_shingles, component_id, kept."""
     spark = docs.sparkSession
+    whole_ids(docs)
     most_bits = most_differing_bits(percent)
     docs = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     sig, sig_path = materialize(signatures(docs), "signatures")
@@ -390,34 +383,24 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, crowd: int = CROWD)
     wanted = materialize(members.select("id").distinct(), "wanted")
     texts, texts_path = materialize(docs.select("id", "text").join(checked(wanted), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")), "texts")
     links, links_path = materialize(confirm(pairs, texts, percent), "confirmed")
-    comps, _ = materialize(components(links, _parts(spark, links_path)), "components")
+    comps, comps_path = materialize(components(links, _parts(spark, links_path)), "components")
 
     with_comp = members.join(comps, "id", "left").select("bucket", "id", "sketch", "n", F.coalesce("comp", "id").alias("comp"))
     several = lambda df: df.join(df.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("bucket"), "bucket", "left_semi")
     active, active_path = materialize(several(with_comp), "open")
-    inside = active.where(F.col("n") <= crowd).select("bucket", "id", "sketch", "comp")
-    big = active.where(F.col("n") > crowd)
-    if not big.isEmpty():
-        ids = big.select("id").distinct()
-        keys = _crowd_keys(texts.join(ids, "id", "left_semi")).select("id", F.posexplode("keys").alias("split", "key"))
-        own = big.select("id", "sketch", "comp").dropDuplicates(["id"])
-        parts = own.join(keys, "id").select(F.xxhash64("split", "key").alias("bucket"), "id", "sketch", "comp")
-        inside = inside.unionByName(several(parts))
-    left, left_path = materialize(_open_members(inside, most_bits), "near")
+    left, left_path = materialize(_open_members(_groups(active, least_block, block), most_bits), "near")
     wanted_sets = shingle_table(texts.join(left.select("id").distinct(), "id", "left_semi"))
     more, more_path = materialize(_links_inside(left, wanted_sets, percent), "confirmed")
     if not more.isEmpty():
         links, old = materialize(comps.select(F.col("id").alias("a"), F.col("comp").alias("b")).unionByName(more), "confirmed")
-        comps, _ = materialize(components(links, _parts(spark, old)), "components")
+        discard(spark, comps_path)
+        comps, comps_path = materialize(components(links, _parts(spark, old)), "components")
         discard(spark, old)
-    for p in (active_path, left_path, more_path):
-        discard(spark, p)
-    for p in (members_path, texts_path, links_path):
-        discard(spark, p)
+    discard(spark, active_path, left_path, more_path, members_path, texts_path, links_path, wanted[1])
 
     by_class = classes.select("c1", "c2", "id").join(comps, "id", "left").select("c1", "c2", F.coalesce("comp", "id").alias("comp"))
     found = materialize(by_class, "class-components")
-    discard(spark, classes_path)
+    discard(spark, classes_path, comps_path)
     out = sig.select("id", "c1", "c2", "n_shingles").join(checked(found), ["c1", "c2"], "left")
     comp = F.coalesce("comp", "id")
     kind = docs.schema["doc_id"].dataType
