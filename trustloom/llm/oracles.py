@@ -16,7 +16,7 @@ _n = lambda t: f"len({_words(t)})"
 _FAILS = f"""(({_n('l')} <= {_R.short_words} AND NOT regexp_matches(regexp_replace(l, '{_WS}+$', ''), '{_q(_R.closing)}'))
  OR 100 * {_symbols('l')} > {_R.max_symbol_percent} * length({_strip('l')})
  OR (len(list_filter({_words('l')}, lambda w: list_contains({_SEPARATORS}, w))) >= 2 AND {_n('l')} <= {_R.words_per_separator} * (len(list_filter({_words('l')}, lambda w: list_contains({_SEPARATORS}, w))) + 1))
- OR regexp_matches(l, '{_q(_R.navigation)}') OR regexp_matches(l, '{_q(_R.boilerplate)}'))"""
+ OR ({_n('l')} <= {_R.navigation_words} AND regexp_matches(lower(l), '{_q(_R.navigation)}')) OR {" OR ".join(f"contains(lower(l), '{_q(p)}')" for p in _R.boilerplate)})"""
 
 OP3 = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), w AS (SELECT doc_id, t, {_words('t')} AS w FROM d),

@@ -3,16 +3,20 @@
 Defined cases: a null or empty text has no words, so every count is 0, ``base_failed`` is true and
 ``kept`` false. Lines without a word are neither judged nor counted. Repeated rows are judged one by
 one, each on its own text. Columns of the input beyond the id and the text are ignored, whatever
-their names. Words are maximal runs of characters other than space and U+0009 to U+000D.
+their names; texts of any length are judged whole; an empty table gives no rows. Words are maximal runs of characters other than space and U+0009 to U+000D.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trustloom.functions.features import once
+from trustloom.functions.stats import let
 from trustloom.llm.common import SPACES
 
 #: The base rule of the contract.
@@ -24,27 +28,45 @@ SYMBOLS = "#*$%&|<>"
 
 @dataclass(frozen=True)
 class LineRules:
-    """Thresholds of the line rules and of the verdict on the document."""
+    """Thresholds of the line rules and of the verdict on the document. Phrases are in English, German, French and Spanish."""
 
     #: A line this short or shorter without closing punctuation fails (a heading, a menu entry).
     short_words: int = 3
-    closing: str = r"[.!?;:,…。！？\"'”’»)\]}|*%$#&>]$"
+    #: Marks that end a sentence or lead to what follows, and quotes and brackets after them.
+    closing: str = r"[.!?:;…。！？][\"'”’»)\]}]*$"
     #: Symbols per 100 word characters from which a line fails.
     max_symbol_percent: int = 10
     #: A navigation line has at least two separators and at most this many words between two of them.
     words_per_separator: int = 4
     separators: tuple = ("|", "»", "›", ">", "·", "•", "/")
-    navigation: str = r"(?i)^\W*(home|menu|log ?in|sign (in|up)|next|previous|back to top|read more|click here|share this|search)\W*$"
-    boilerplate: str = (
-        r"(?i)(all rights reserved|terms of (use|service)|privacy policy|cookie policy|use of cookies|"
-        r"enable javascript|lorem ipsum|powered by|licensed under|copyright (©|\(c\)))"
+    #: Lines of at most so many words that say nothing but one of these, in lower case, are navigation.
+    navigation_words: int = 6
+    navigation: str = (
+        r"^\W*(home|menu|log ?in|sign (in|up)|next|previous|back to top|read more|click here|share this|search|"
+        r"startseite|menü|anmelden|weiter|zurück|nach oben|mehr lesen|hier klicken|teilen|suche|"
+        r"accueil|connexion|suivant|précédent|haut de page|lire la suite|cliquez ici|partager|recherche|"
+        r"inicio|menú|iniciar sesión|siguiente|anterior|volver arriba|leer más|haga clic aquí|compartir|buscar)\W*$"
     )
+    #: Lines with one of these phrases, in lower case, are boilerplate.
+    boilerplate: tuple = (
+        "all rights reserved", "terms of use", "terms of service", "privacy policy", "cookie policy", "use of cookies", "enable javascript", "lorem ipsum", "powered by", "licensed under", "copyright ©", "copyright (c)",
+        "alle rechte vorbehalten", "nutzungsbedingungen", "datenschutzerklärung", "cookie-richtlinie", "verwendung von cookies", "javascript aktivieren",
+        "tous droits réservés", "conditions d'utilisation", "politique de confidentialité", "politique de cookies", "utilisation de cookies", "activer javascript",
+        "todos los derechos reservados", "términos de uso", "condiciones de uso", "política de privacidad", "política de cookies", "uso de cookies", "activar javascript",
+    )
     #: Percent of the word characters that may go with the failing lines.
     max_lost_percent: int = 60
 
 
 def _spaces_out(text: Column) -> Column:
-    return F.translate(text, SPACES, " " * len(SPACES))
+    for c in SPACES[1:]:
+        text = F.replace(text, F.lit(c), F.lit(" "))
+    return text
+
+
+def _count(text: Column, marks: str) -> Column:
+    """Occurrences of ASCII characters, each from lengths in bytes."""
+    return sum((F.octet_length(text) - F.octet_length(F.replace(text, F.lit(c), F.lit(""))) for c in marks), F.lit(0))
 
 
 def words_of(text: Column) -> Column:
@@ -53,26 +75,37 @@ def words_of(text: Column) -> Column:
 
 
 def word_chars_of(text: Column) -> Column:
-    return F.length(F.translate(text, SPACES, "")).cast("long")
+    return (F.length(text) - _count(text, SPACES)).cast("long")
 
 
 def symbols_of(text: Column) -> Column:
-    return (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long")
-
-
-def line_fails(line: Column, rules: LineRules) -> Column:
-    """Whether a line (with at least one word) breaks a punctuation, navigation or boilerplate rule."""
-    words = words_of(line)
-    n_words = F.size(words)
-    closed = F.regexp_replace(line, r"[\x20\x09-\x0D]+$", "").rlike(rules.closing)
-    separators = F.size(F.filter(words, lambda w: w.isin(*rules.separators)))
-    return (
-        ((n_words <= rules.short_words) & ~closed)
-        | (F.lit(100) * symbols_of(line) > F.lit(rules.max_symbol_percent) * word_chars_of(line))
-        | ((separators >= 2) & (n_words <= rules.words_per_separator * (separators + 1)))
-        | line.rlike(rules.navigation)
-        | line.rlike(rules.boilerplate)
-    )
+    return F.regexp_count(text, F.lit(f"[{SYMBOLS}]")).cast("long")
+
+
+def has_phrase(text: Column, rules: LineRules) -> Column:
+    return let(F.lower(text), lambda low: reduce(or_, (F.contains(low, F.lit(p)) for p in rules.boilerplate)))
+
+
+def line_fails(line: Column, rules: LineRules, suspect: Column | None = None) -> Column:
+    """Whether a line (with at least one word) breaks a punctuation, navigation or boilerplate rule.
+
+    ``suspect``: whether the text has a boilerplate phrase at all, if that is known.
+    """
+
+    def judged(words: Column) -> Column:
+        n_words = F.size(words)
+        closed = F.rtrim(line, F.lit(SPACES)).rlike(rules.closing)
+        separators = F.size(F.filter(words, lambda w: w.isin(*rules.separators)))
+        phrase = has_phrase(line, rules)
+        return (
+            ((n_words <= rules.short_words) & ~closed)
+            | (F.lit(100) * symbols_of(line) > F.lit(rules.max_symbol_percent) * word_chars_of(line))
+            | ((separators >= 2) & (n_words <= rules.words_per_separator * (separators + 1)))
+            | ((n_words <= rules.navigation_words) & F.lower(line).rlike(rules.navigation))
+            | (phrase if suspect is None else suspect & phrase)
+        )
+
+    return let(words_of(line), judged)
 
 
 def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: LineRules = LineRules()) -> DataFrame:
@@ -132,10 +165,11 @@ def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
     df = df.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0).cast("long"))).drop("_p")
 
-    df = df.withColumn("_l", F.filter(F.split("_t", "\n", -1), lambda s: s.rlike(r"[^\x20\x09-\x0D]")))
+    df = df.withColumn("_l", F.filter(F.split("_t", "\n", -1), lambda s: F.btrim(s, F.lit(SPACES)) != ""))
     df = df.withColumn("word_chars", word_chars_of(F.col("_t"))).withColumn("n_symbols", symbols_of(F.col("_t")))
     df = df.withColumn("n_dup_lines", (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long"))
-    df = df.withColumn("_k", F.filter("_l", lambda s: ~line_fails(s, rules)))
+    df = once(df, _b=has_phrase(F.col("_t"), rules))  # once a text, not once a line
+    df = df.withColumn("_k", F.filter("_l", lambda s: ~line_fails(s, rules, F.col("_b"))))
     df = df.withColumn("clean_text", F.array_join("_k", "\n")).withColumn("n_lines_removed", (F.size("_l") - F.size("_k")).cast("long"))
     df = df.withColumn("kept_chars", word_chars_of(F.col("clean_text")))
     df = df.withColumn(
