@@ -252,6 +252,18 @@ def brute_rake(cells, targets, budget, sweeps=12):
     return w
 
 
+def test_quality_rules_one_by_one(spark):
+    long = "Ein langer Satz mit genug Wörtern steht hier und endet gut."
+    bad = ["Startseite", "» Lire la suite «", "Inicio | Noticias | Contacto", "Kapitel eins", "one, two,", "Alle Rechte vorbehalten, und mehr steht hier auch noch.", "Nos conditions d'utilisation se trouvent sur cette page.", "### ab %%% cd $$$ ef &&& gh.", "A / B / C / D"]
+    good = ["Was nun?", "He said: \"no.\"", "Ja!", "Sehr gut (wirklich.)", long, "This is 5 > 3 in a long line of words, as it should be.", "日本語です。"]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(bad + good)], "doc_id int, text string")
+    got = {x["doc_id"]: x["n_lines_removed"] for x in quality.clean_lines(df).collect()}
+    assert [x for i, x in enumerate(bad + good) if got[i] != (i < len(bad))] == []
+    texts = [f"{long}\n" * 1 + "\n".join(bad[:4]), "\n".join(bad * 4) + "\n" + long, long + " Der zweite Teil sagt etwas ganz anderes und hört dann auf.", None, "", "w " * 50_000]
+    out = {x["doc_id"]: x for x in quality.clean_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).collect()}
+    assert out[0]["clean_text"] == long and out[0]["kept"] and not out[1]["kept"] and out[2]["kept"] and not (out[3]["kept"] or out[4]["kept"] or out[5]["kept"])
+
+
 def test_mixing(docs, none, rows):
     topic = mixing.topic_of(F.col("text"))
     got, report = mixing.mix(docs, topic, budget=0.5, report=True)
@@ -497,22 +509,61 @@ def test_chat_round_trip(spark):
         assert raw == first["turns"][s["turn"]]["raw"]
 
 
+def write_tables(spark, path, rows, labels, items):
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(str(path / "documents.parquet"))
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(str(path / "labels.parquet"))
+    spark.createDataFrame(items, "item_id bigint, text string").write.parquet(str(path / "benchmark.parquet"))
+
+
+def brute_pipeline(rows, toxic, items):
+    """Ids and texts after each of the first three stages, by plain loops; ``toxic`` is the first stage's verdict by text."""
+    first = [x for x in rows if x[1] not in toxic]
+    sets = lambda t: (lambda w: frozenset(tuple(w[k : k + 5]) for k in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else []))(WORD.findall(lower(t)))
+    texts = sorted({(float("inf") if x[0] is None else x[0], x[1] or "") for x in first})
+    comp = {x: x for x in texts}
+    pairs = [(a, b) for a in texts for b in texts if a < b and sets(a[1]) and 100 * len(sets(a[1]) & sets(b[1])) >= 85 * len(sets(a[1]) | sets(b[1]))]
+    for _ in texts:
+        for a, b in pairs:
+            comp[a] = comp[b] = min(comp[a], comp[b])
+    second = [x for x in texts if comp[x][0] == x[0]]
+    hits = {h[0] for h in brute_hits([(k, t) for k, (_, t) in enumerate(second)], items) if h[5]}
+    third = [x for k, x in enumerate(second) if k not in hits]
+    return [sorted((float("inf") if x[0] is None else x[0], x[1] or "") for x in first), second, third]
+
+
 def test_pipeline_stages(spark, tmp_path, rows):
     import corpus_pipeline as p
 
     r = random.Random(3)
-    extra = [(500 + i, prose(r, 60) + (" vile nasty" if i % 3 == 0 else ""), "en", "s1", 400, "clash", 1) for i in range(60)]
-    spark.createDataFrame(rows + extra, DOCS).select("doc_id", "text", "lang", "source", "n_chars").write.parquet(str(tmp_path / "documents.parquet"))
-    spark.createDataFrame([(500 + i, 1, int(i % 3 == 0)) for i in range(60)], "doc_id bigint, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
-    spark.createDataFrame([(1, " ".join(rows[0][1].split()[5:40]))], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    extra = [(500 + i, prose(r, 60) + (" vile nasty" if i % 3 == 0 else ""), "en", "s1", 400) for i in range(60)]
+    odd = [(None, prose(r, 30), None, None, None), (None, prose(r, 40), "en", "s1", 1), (None, rows[1][1], "en", "s1", 1), (900, prose(r, 30), "en", "s", 1), (900, rows[2][1], "en", "s", 1), (901, "", "en", "s", 0)]
+    all_rows = [x[:5] for x in rows] + extra + odd
+    items = [(1, " ".join(rows[0][1].split()[5:40]))]
+    write_tables(spark, tmp_path, all_rows, [(500 + i, 1, int(i % 3 == 0)) for i in range(60)], items)
     docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
-    sizes = [docs.count()]
+    found, sizes = [], [docs.count()]
     for i, (name, stage) in enumerate(p.STAGES):
         stage(spark, docs, str(tmp_path)).write.parquet(str(tmp_path / name))
         docs = spark.read.parquet(str(tmp_path / name))
         sizes.append(docs.count())
         if i < 4:
             assert docs.columns == p.COLUMNS
-        if name == "toxicity":
-            assert not {500 + i for i in range(0, 60, 3)} & {x["doc_id"] for x in docs.collect()}
+        if i < 3:
+            found.append(sorted((float("inf") if x["doc_id"] is None else x["doc_id"], x["text"] or "") for x in docs.collect()))
+    toxic = {x[1] for x in extra if "vile" in x[1]}
+    want = brute_pipeline(all_rows, toxic, items)
+    assert found == want
     assert sizes[0] > sizes[1] > sizes[2] > sizes[3] > sizes[4] == sizes[5] > 0
+    last, mixed = docs.collect(), spark.read.parquet(str(tmp_path / "mixing")).collect()
+    assert set(p.COLUMNS) < set(docs.columns) and sorted((tuple(x[c] for c in p.COLUMNS) for x in last), key=str) == sorted((tuple(x) for x in mixed), key=str)
+    by = defaultdict(list)
+    for x in last:
+        by[x["shard"]].append(x["slot"])
+    assert all(sorted(v) == list(range(len(v))) for v in by.values())
+
+
+def test_pipeline_of_empty_tables(spark, tmp_path):
+    import corpus_pipeline as p
+
+    write_tables(spark, tmp_path, [], [], [])
+    assert p.run(spark, str(tmp_path)).count() == 0

@@ -217,7 +217,7 @@ def _hits(docs: DataFrame, block: list[tuple[str, list[bytes]]], window: int, sl
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, slop: int = 0, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row per document: n_words, n_hit, n_items, items_sha256, items, n_near, contaminated.
+    """One row per document: n_words, n_hit, n_items, items_sha256, items, n_near, contaminated, text_hash (xxhash64 of the text).
 
     ``n_near``: items with a proximity match and no exact phrase (0 if slop is 0).
     """
@@ -230,16 +230,16 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, slop:
         hits = found if hits is None else hits.unionByName(found)
     found_type = "array<struct<item:string,spans:array<struct<a:int,b:int>>>>"
     if hits is None:
-        joined = docs.withColumn("found", F.lit(None).cast(found_type))
+        joined = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"), F.lit(None).cast(found_type).alias("found"))
     else:
         per_doc = hits.groupBy("doc_id", "key").agg(F.collect_list(F.struct("item", "spans")).alias("found"))
         side = materialize(per_doc.select(F.col("doc_id").alias("_doc"), F.col("key").alias("_key"), "found"), "found")
-        joined = keyed.join(checked(side), F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("key") == F.col("_key")), "left").select("doc_id", "text", "found")
+        joined = keyed.join(checked(side), F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("key") == F.col("_key")), "left").select("doc_id", "text", F.xxhash64("text").alias("text_hash"), "found")
 
     def judge(batches):
         for batch in batches:
             n_words, n_hit, n_items, near, names = [], [], [], [], []
-            for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            for text, found in zip(batch.column(1).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 n_words.append(len(tokens(text)))
                 hit: set[int] = set()
                 there = {f["item"] for f in found or () if f["spans"]}
@@ -260,10 +260,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, slop:
                     pa.array([h > 0 and 20 * h >= w for h, w in zip(n_hit, n_words, strict=True)], pa.bool_()),
                     pa.array(names, pa.list_(pa.string())),
                     pa.array(near, pa.int64()),
+                    batch.column(2),
                 ],
-                ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "items", "n_near"],
+                ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "items", "n_near", "text_hash"],
             )
 
     return joined.mapInArrow(
-        judge, f"doc_id {kind}, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean, items array<string>, n_near bigint"
+        judge, f"doc_id {kind}, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean, items array<string>, n_near bigint, text_hash bigint"
     )

@@ -115,12 +115,12 @@ def _class_hash(chunk) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def signatures(docs: DataFrame, extra: bool = False) -> DataFrame:
-    """(id, c1, c2, n_shingles, bands, sketch) of each row of (id, text); null bands for empty sets."""
+def signatures(docs: DataFrame) -> DataFrame:
+    """(id, text_hash, c1, c2, n_shingles, bands, sketch) of each row of (id, text_hash, text); zero bands for empty sets."""
 
     def run(batches):
         for batch in batches:
-            for c in chunks(batch.column(1), lower=True):
+            for c in chunks(batch.column(2), lower=True):
                 c1, c2 = _class_hash(c)
                 grams, starts = shingle_sets(c)
                 sizes = np.diff(starts)
@@ -139,16 +139,17 @@ def signatures(docs: DataFrame, extra: bool = False) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(c.first, c.n_texts),
+                        batch.column(1).slice(c.first, c.n_texts),
                         pa.array(signed(c1), pa.int64()),
                         pa.array(signed(c2), pa.int64()),
                         pa.array(sizes, pa.int64()),
                         pa.ListArray.from_arrays(pa.array(np.arange(c.n_texts + 1, dtype=np.int32) * BANDS), pa.array(signed(bands.ravel()), pa.int64())),
                         pa.array(sketch, pa.binary()),
                     ],
-                    ["id", "c1", "c2", "n_shingles", "bands", "sketch"],
+                    ["id", "text_hash", "c1", "c2", "n_shingles", "bands", "sketch"],
                 )
 
-    return docs.select("id", "text").mapInArrow(run, "id bigint, c1 bigint, c2 bigint, n_shingles bigint, bands array<bigint>, sketch binary")
+    return docs.select("id", "text_hash", "text").mapInArrow(run, "id bigint, text_hash bigint, c1 bigint, c2 bigint, n_shingles bigint, bands array<bigint>, sketch binary")
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -354,11 +355,12 @@ def _links_inside(members: DataFrame, sets: DataFrame, percent: int) -> DataFram
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, least_block: int = LEAST_BLOCK, block: int = BLOCK) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): n_shingles, component_id, kept."""
+    """One row per row of ``docs`` (doc_id, text): n_shingles, component_id, kept, and ``text_hash``, the
+    xxhash64 of the text, which tells rows of one id apart."""
     spark = docs.sparkSession
     whole_ids(docs)
     most_bits = most_differing_bits(percent)
-    docs = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    docs = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"))
     sig, sig_path = materialize(signatures(docs), "signatures")
     classes = sig.where("n_shingles > 0").groupBy("c1", "c2").agg(F.min(F.struct("id", "sketch", "bands", "n_shingles")).alias("s"))
     classes, classes_path = materialize(classes.select("c1", "c2", "s.id", "s.sketch", "s.bands"), "classes")
@@ -401,7 +403,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, least_block: int =
     by_class = classes.select("c1", "c2", "id").join(comps, "id", "left").select("c1", "c2", F.coalesce("comp", "id").alias("comp"))
     found = materialize(by_class, "class-components")
     discard(spark, classes_path, comps_path)
-    out = sig.select("id", "c1", "c2", "n_shingles").join(checked(found), ["c1", "c2"], "left")
+    out = sig.select("id", "text_hash", "c1", "c2", "n_shingles").join(checked(found), ["c1", "c2"], "left")
     comp = F.coalesce("comp", "id")
     kind = docs.schema["doc_id"].dataType
     return out.select(
@@ -409,4 +411,5 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, least_block: int =
         "n_shingles",
         F.when(comp != NO_ID, comp).alias("component_id"),
         (F.col("id") == comp).alias("kept"),
+        "text_hash",
     )

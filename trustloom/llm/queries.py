@@ -49,7 +49,7 @@ def op6_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+    return neardup.near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op8_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,13 +58,13 @@ def op8_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    return decontam.decontaminate(docs, items).drop("items", "n_near")
+    return decontam.decontaminate(docs, items).drop("items", "n_near", "text_hash")
 
 
 def op9_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As ``op9_positional_index``, with the items that are near; its SQL has exact matches only."""
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    return decontam.decontaminate(docs, items, slop=SLOP).drop("items")
+    return decontam.decontaminate(docs, items, slop=SLOP).drop("items", "text_hash")
 
 
 def op10_chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
