@@ -72,7 +72,14 @@ FURNITURE_WORDS = frozenset(
 #: Elements nested deeper hang on the last one allowed, as in browsers.
 MAX_DEPTH = 512
 _WORD = re.compile(r"[a-z]+")
-_SPACE = re.compile(r"[\s​﻿]+")
+_ZERO_WIDTH = str.maketrans({"\u200b": " ", "\ufeff": " "})
+
+
+def squeezed(text: str) -> str:
+    """White space, zero-width spaces among it, as single blanks; none at the ends."""
+    if "\u200b" in text or "\ufeff" in text:
+        text = text.translate(_ZERO_WIDTH)
+    return " ".join(text.split())
 
 
 class Node:
@@ -175,7 +182,7 @@ def hash_subtrees(root: Node, skip: list[Node]) -> set[int]:
         parts, blank = [node.tag], True
         for c in node.children:
             if type(c) is str:
-                if s := _SPACE.sub(" ", c).strip():
+                if s := squeezed(c):
                     parts.append(s)
                     blank = False
             elif id(c) in stop:
@@ -207,7 +214,7 @@ def hash_main(nodes: list[Node]) -> tuple[list[tuple[int, int, int]], list[str],
         while todo:
             node, start = todo.pop()
             if type(node) is str:
-                words += _SPACE.sub(" ", node).split()
+                words += squeezed(node).split()
             elif start < 0:
                 todo.append((node, len(words)))
                 todo += [(c, -1) for c in reversed(node.children) if type(c) is str or not c.furniture]
@@ -215,7 +222,7 @@ def hash_main(nodes: list[Node]) -> tuple[list[tuple[int, int, int]], list[str],
                 parts = ["main", node.tag]  # not the hash that the same subtree has outside
                 for c in node.children:
                     if type(c) is str:
-                        if s := _SPACE.sub(" ", c).strip():
+                        if s := squeezed(c):
                             parts.append(s)
                     elif c.hash is not None:
                         parts.append(str(c.hash))
@@ -278,7 +285,7 @@ def text_of(nodes: list[Node], template: set[int]) -> str:
             out.append(" ")
             todo.append(" ")
         todo += reversed(x.children)
-    return _SPACE.sub(" ", unescape("".join(out))).strip()
+    return squeezed(unescape("".join(out)))
 
 
 def dropped(root: Node, template: set[int]) -> int:

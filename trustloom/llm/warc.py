@@ -50,9 +50,6 @@ DERIVED = (
 #: Elements whose content is no text of the page; links are read from the others.
 _RAW = frozenset("script style noscript template textarea title".split())
 _LINKS = frozenset("a link img area iframe".split())
-_SPACES = re.compile(r"[ \t\r\f\v\xa0]+")
-_BREAKS = re.compile(r" ?\n[ \n]*+")
-_BLANKS = re.compile(r"\s+")
 _SIZE = re.compile(rb"\s*([0-9a-fA-F]{1,16})\s*(?:;.*)?\Z", re.S)
 
 
@@ -76,22 +73,22 @@ def split_http(block: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
 
 def read_html(html: str, base: str) -> tuple[str, list[dict], str | None]:
     """Visible text with one line a block, links, and the title, in one linear pass."""
-    text: list[str] = []
+    blocks: list[list[str]] = [[]]
     links: list[dict] = []
     title = None
     for token in tokens(html, _RAW):
         if type(token) is str:
-            text.append(_BLANKS.sub(" ", token))
+            blocks[-1].append(token)
             continue
         closing, name, attrs, raw = token
         if raw is not None:
             if name == "title" and title is None:
                 title = unescape(raw).strip()
             elif name != "title":
-                text.append(" ")
+                blocks[-1].append(" ")
             continue
         if name in BLOCK:
-            text.append("\n")
+            blocks.append([])
         if name in _LINKS and not closing:
             href = next((unescape(v) for k, v in attributes(attrs) if k in ("href", "src")), None)
             if href is not None:
@@ -100,7 +97,8 @@ def read_html(html: str, base: str) -> tuple[str, list[dict], str | None]:
                 except ValueError:
                     url = href
                 links.append({"path": name, "url": url})
-    return _BREAKS.sub("\n", _SPACES.sub(" ", unescape("".join(text)))).strip(), links, title
+    lines = (" ".join(unescape("".join(b)).split()) for b in blocks)
+    return "\n".join(x for x in lines if x), links, title
 
 
 def dechunked(body: bytes) -> bytes | None:
@@ -171,9 +169,10 @@ def derive(record_id: str | None, uri: str | None, date: str | None, warc_header
         html = ""
     text, links, title = read_html(html, uri or "")
     code = re.match(r"HTTP/\S+\s+(\d{3})", status)
+    made = digest(payload)
     meta = {
         "source": {
-            "record_id": source, "warc_headers": json.loads(warc_headers) if warc_headers else {}, "block_digest": digest(block), "payload_digest": digest(payload), "given_payload_digest": given,
+            "record_id": source, "warc_headers": json.loads(warc_headers) if warc_headers else {}, "block_digest": digest(block), "payload_digest": made, "given_payload_digest": given,
         },
         "http": {"status_line": status, "headers": headers, "decoded": known},
         "html": {"title": title, "links": links},
@@ -192,8 +191,8 @@ def derive(record_id: str | None, uri: str | None, date: str | None, warc_header
                 "content_type": content_type,
                 "content_length": len(data),
                 "block_digest": digest(data),
-                "source_payload_digest": given or digest(payload),
-                "digest_ok": given is None or same_digest(given, payload) or same_digest(given, body),
+                "source_payload_digest": given or made,
+                "digest_ok": given is None or given == made or same_digest(given, payload) or same_digest(given, body),
                 "http_status": int(code[1]) if code else None,
                 "source_headers": json.dumps(headers, ensure_ascii=False),
                 "n_links": len(links),
