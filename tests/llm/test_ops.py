@@ -509,6 +509,17 @@ def test_chat_round_trip(spark):
         assert raw == first["turns"][s["turn"]]["raw"]
 
 
+def test_chat_of_odd_tables(spark):
+    schema = "conv_id bigint, turn bigint, role string, text string, formatted string, turns int, n int"
+    none = spark.createDataFrame([], schema)
+    assert chat.read_back(chat.format_chats(none)).count() == 0
+    long = "<|im_end|> word " * 60_000
+    rows = [(1, 0, "user", long, "clash", 1, 2), (1, 1, "assistant", long + "!", "clash", 1, 2), (2, 0, "assistant", "a", "clash", 1, 2), (2, 0, "assistant", "a", "clash", 1, 2)]
+    got = {x["conv_id"]: x for x in chat.read_back(chat.format_chats(spark.createDataFrame(rows, schema))).collect()}
+    assert got[1]["round_trip"] and got[1]["loss_chars"] == len(long) + 1 and got[1]["loss_sha256"] == hashlib.sha256((long + "!").encode()).hexdigest()
+    assert got[2]["n_turns"] == 2 and got[2]["loss_chars"] == 2
+
+
 def write_tables(spark, path, rows, labels, items):
     spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(str(path / "documents.parquet"))
     spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(str(path / "labels.parquet"))

@@ -10,7 +10,8 @@ is then reparsed and compared as well; the verdict is the column ``round_trip``.
 
 Defined cases: a null text or role is empty, a null turn number comes first, equal turn numbers are
 ordered by role and text, repeated rows stay repeated turns, a null conversation id forms one
-conversation of its own, an empty table gives no conversation. A conversation is one training record
+conversation of its own, an empty table gives no conversation; texts of any length are kept whole; other
+columns are ignored, whatever their names. A conversation is one training record
 and therefore one row; the rows of a conversation, and nothing larger, meet in one task.
 """
 
@@ -19,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trustloom.functions.stats import let
+
 START, END = "<|im_start|>", "<|im_end|>"
 #: A control string, or an escaped one: "<", backslashes, "|".
 CONFLICT = r"<(\\*)\|"
@@ -48,31 +51,28 @@ def _frame(role: Column, content: Column) -> Column:
 
 def parse_turns(formatted: Column) -> Column:
     """The deterministic parser: array of (role, text, raw), with null fields where the grammar is broken."""
-    blocks = F.split(formatted, r"<\|im_end\|>", -1)
-    body = F.transform(
-        F.filter(blocks, lambda b, i: i < F.size(blocks) - 1),
-        lambda b, i: F.when(i == 0, b).when(b.startswith("\n"), F.substr(b, F.lit(2))),
-    )
 
     def read(b: Column) -> Column:
-        inner = F.when(b.startswith(START), F.substr(b, F.lit(len(START) + 1)))
-        at = F.instr(inner, "\n")
-        sound = (at > 0) & ~F.contains(inner, F.lit("<|"))
-        raw = F.when(sound, F.substr(inner, at + 1))
-        return F.struct(
-            F.when(sound, _unescape_role(F.substr(inner, F.lit(1), at - 1))).alias("role"),
-            unescape(raw).alias("text"),
-            raw.alias("raw"),
-        )
+        def parts(inner: Column) -> Column:
+            at = F.instr(inner, "\n")
+            sound = (at > 0) & ~F.contains(inner, F.lit("<|"))
+            raw = F.when(sound, F.substr(inner, at + 1))
+            return F.struct(F.when(sound, _unescape_role(F.substr(inner, F.lit(1), at - 1))).alias("role"), unescape(raw).alias("text"), raw.alias("raw"))
+
+        return let(F.when(b.startswith(START), F.substr(b, F.lit(len(START) + 1))), parts)
+
+    def turns(blocks: Column) -> Column:
+        body = F.transform(F.slice(blocks, F.lit(1), F.size(blocks) - 1), lambda b, i: F.when(i == 0, b).when(b.startswith("\n"), F.substr(b, F.lit(2))))
+        return F.transform(body, read)
 
-    return F.transform(body, read)
+    # bound once: the text is cut once, and not for every block of it
+    return let(F.split(formatted, r"<\|im_end\|>", -1), turns)
 
 
 def format_turn(role: Column, text: Column) -> Column:
     """One turn, escaped only if its plain form does not come back from the parser as itself alone."""
     plain = _frame(role, text)
-    back = parse_turns(plain)
-    whole = (F.size(back) == 1) & back[0]["role"].eqNullSafe(role) & back[0]["text"].eqNullSafe(text)
+    whole = let(parse_turns(plain), lambda back: (F.size(back) == 1) & back[0]["role"].eqNullSafe(role) & back[0]["text"].eqNullSafe(text))
     return F.when(whole, plain).otherwise(_frame(_escape_role(role), escape(text)))
 
 
