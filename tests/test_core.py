@@ -321,6 +321,48 @@ def test_stream_equals_batch(spark, tmp_path):
     assert got == batch
 
 
+def run_stream(make, spark, tmp_path, df, name, mode="append"):
+    df.coalesce(1).write.parquet(str(tmp_path / name))
+    out = make(spark.readStream.schema(df.schema).parquet(str(tmp_path / name)))
+    q = out.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", str(tmp_path / f"{name}-ck")).start()
+    q.processAllAvailable()
+    q.stop()
+    return spark.table(name).collect()
+
+
+def test_streams_dedup_count_and_score(spark, tmp_path):
+    from trustloom.streaming import trust_stream
+
+    base = records(spark, 12).withColumn("event_time", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("seq") * 60))
+    once_ = run_stream(trust_stream.deduplicated, spark, tmp_path, base.unionByName(base), "deduped")
+    assert len(once_) == len({r["record_id"] for r in once_}) == base.select(text.record_id(F.col("source_type"), F.col("source_url"))).distinct().count()
+    tiers = base.select("event_time", F.when(F.col("seq") % 2 == 0, "CREDIBLE").otherwise("UNCERTAIN").alias("trust_tier"))
+    windows = run_stream(trust_stream.tier_windows, spark, tmp_path, tiers, "tiers", "complete")
+    assert sum(r["n"] for r in windows) == 12
+    full = base.select("*", F.col("text").alias("content")).withColumns({c: F.lit(None).cast(t) for c, t in {"citations": "bigint", "pmid": "string", "doi": "string", "journal": "string"}.items()})
+    got = {r["seq"]: (r["trust_score"], r["trust_tier"]) for r in run_stream(trust_stream.trust_stream, spark, tmp_path, full, "scored")}
+    scored = trust.score(full).select("seq", text.netloc(F.col("source_url")).alias("domain"), F.col("penalized_score").alias("penalized"))
+    batch = {r["seq"]: r["trust_score"] for r in priors.apply_priors(scored)[0].collect()}
+    assert {k: v for k, (v, _) in got.items()} == batch and all(t for _, t in got.values())
+
+
+def test_written_runs_and_their_index(spark, tmp_path):
+    published, _, _ = pipeline.run(records(spark, 9), "now")
+    published = published.cache()
+    sinks.write_manifests(published, str(tmp_path / "runs"), "now")
+    back = spark.read.json(str(tmp_path / "runs" / "records"))
+    assert back.count() == published.count() and spark.read.json(str(tmp_path / "runs" / "manifest")).first()["total_records"] == published.count()
+    sinks.write_raw(records(spark, 3), str(tmp_path), "blog")
+    assert spark.read.json(str(tmp_path / "raw" / "blog")).count() == 3
+    shown = sinks.result_table(published, 4).orderBy("place").collect()
+    assert [r["place"] for r in shown] == [1, 2, 3, 4] and [float(r["trust"]) for r in shown] == sorted((float(r["trust"]) for r in shown), reverse=True)
+    broken = published.withColumn("trust_tier", F.when(F.col("source_type") == "blog", "GOOD").otherwise(F.col("trust_tier")))
+    saved = broken.agg(F.collect_list(F.struct(*published.columns)).alias("records")).select(F.lit("t").alias("topic_dir"), F.struct(F.lit(0.7).alias("avg_trust"), F.lit("now").alias("generated_at")).alias("meta"), "records")
+    n = {r["source_type"]: r["count"] for r in published.groupBy("source_type").count().collect()}
+    entry = sinks.index_entries(saved).first()
+    assert (entry["invalid"], entry["blog"], entry["youtube"], entry["total"], entry["avg_trust"]) == (n["blog"], 0, n["youtube"], n["youtube"] + n["pubmed"], 0.7)
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_keep_first(spark, seed):
     r = random.Random(seed)

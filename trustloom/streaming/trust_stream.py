@@ -15,6 +15,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from trustloom.config import DEFAULT, Settings
 from trustloom.functions import trust
 from trustloom.functions.text import netloc, record_id, tier_name
+from trustloom.operators.priors import step
 
 
 def deduplicated(records: DataFrame, event_time: str = "event_time", delay: str = "1 hour") -> DataFrame:
@@ -24,20 +25,24 @@ def deduplicated(records: DataFrame, event_time: str = "event_time", delay: str
 
 
 def with_priors(scored: DataFrame, s: Settings = DEFAULT) -> DataFrame:
-    """(domain, seq, penalized) to scores with the domain's running prior; a batch's rows by seq."""
+    """(domain, seq, penalized) to scores with the domain's running prior, by the batch's own step.
+
+    Rows of one micro-batch are taken by seq. A row that comes in a later micro-batch than a larger seq of
+    its domain counts as later: the order of arrival is the order of the stream.
+    """
 
     def fold(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         n, mean = state.get if state.exists else (0, s.prior_init)
-        out = []
-        for seq, penalized in pd.concat(frames)[["seq", "penalized"]].sort_values("seq").itertuples(index=False):
-            prior = mean if n >= s.prior_min_n else None
-            value = penalized if prior is None else (1 - s.prior_weight) * penalized + s.prior_weight * prior
-            final = round(min(max(value, 0.0), 1.0), 3)
+        rows = pd.concat(frames)[["seq", "penalized"]].sort_values(["seq", "penalized"])
+        seqs, finals, used = rows["seq"].tolist(), [], []
+        for penalized in rows["penalized"].tolist():
+            final, prior, after = step(n, mean, penalized, s) if key[0] else step(0, s.prior_init, penalized, s)
             if key[0]:
-                mean, n = round((mean * n + final) / (n + 1), 4), n + 1
-            out.append((key[0], seq, final, prior if key[0] else None))
+                n, mean = n + 1, after
+            finals.append(final)
+            used.append(prior)
         state.update((n, mean))
-        yield pd.DataFrame(out, columns=["domain", "seq", "trust_score", "prior_used"])
+        yield pd.DataFrame({"domain": key[0], "seq": seqs, "trust_score": finals, "prior_used": pd.Series(used, dtype="float64")})
 
     return scored.groupBy("domain").applyInPandasWithState(
         fold, "domain string, seq bigint, trust_score double, prior_used double", "n bigint, mean double", "append", GroupStateTimeout.NoTimeout
