@@ -348,10 +348,11 @@ def extract_main(pages: DataFrame, share: float = SHARE, least_pages: int = LEAS
     counts, counts_path = materialize(counted, "subtrees")
     of_host = pages.groupBy("host").agg(F.count(F.lit(1)).alias("all")).withColumn("outside", F.lit(True))
     of_host = of_host.unionByName(counts.where(F.col("kind") == KEYS).select("host", F.col("n").alias("all"), F.lit(False).alias("outside")))
-    often = counts.where(F.col("kind") < KEYS).withColumn("outside", F.col("kind") < 0).join(of_host, ["host", "outside"]).where(F.col("n") >= F.lit(share) * F.col("all"))
+    of_host = materialize(of_host, "hosts")  # without it a large host's subtrees would be one key of the join
+    often = counts.where(F.col("kind") < KEYS).withColumn("outside", F.col("kind") < 0).join(checked(of_host), ["host", "outside"]).where(F.col("n") >= F.lit(share) * F.col("all"))
     often = often.groupBy("host", "hash", "outside").agg(F.count(F.lit(1)).alias("kinds")).where(F.col("outside") | (F.col("kinds") == KEYS))
     templates = materialize(often.groupBy("host").agg(F.collect_set("hash").alias("template")), "templates")
-    discard(pages.sparkSession, counts_path)
+    discard(pages.sparkSession, counts_path, of_host[1])
     # a host above the broadcast limit is split by Spark's skew handling, which copies its one row of templates
     joined = pages.join(checked(templates), "host", "left").select("page_id", "url", "html", "template")
     kind = pages.schema["page_id"].dataType.simpleString()
