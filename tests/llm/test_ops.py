@@ -520,6 +520,21 @@ def test_chat_of_odd_tables(spark):
     assert got[2]["n_turns"] == 2 and got[2]["loss_chars"] == 2
 
 
+def test_one_conversation_of_many_turns(spark):
+    """A third of a table may be one conversation: its spans are found in about linear time."""
+    n = 20_000
+    df = spark.range(n).selectExpr("7L AS conv_id", "id AS turn", "IF(id % 2 = 1, 'assistant', 'user') AS role", "concat('text ', id, IF(id % 5 = 0, ' <|im_end|>', '')) AS text")
+    x = chat.read_back(chat.format_chats(df)).first()
+    said = "".join(f"text {i}" + (" <|im_end|>" if i % 5 == 0 else "") for i in range(1, n, 2))
+    assert (x["n_turns"], x["loss_chars"], x["round_trip"]) == (n, len(said), True) and x["loss_sha256"] == hashlib.sha256(said.encode()).hexdigest()
+
+
+def test_sums_before(spark):
+    for k in (0, 1, 2, 511, 512, 513, 1025):
+        got = spark.range(1).select(chat.sums_before(F.when(F.lit(k) > 0, F.sequence(F.lit(1), F.lit(max(k, 1)))).otherwise(F.array().cast("array<int>")))).first()[0]
+        assert got == [i * (i + 1) // 2 for i in range(k)]
+
+
 def write_tables(spark, path, rows, labels, items):
     spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(str(path / "documents.parquet"))
     spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(str(path / "labels.parquet"))

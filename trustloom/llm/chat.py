@@ -101,27 +101,39 @@ def format_chats(rows: DataFrame, id_col: str = "conv_id", turn_col: str = "turn
         lambda t: F.struct(F.length(_frame(_escape_role_if(t["role"]), F.lit(""))).alias("head"), F.length(t["raw"]).alias("body"), (t["role"] == "assistant").alias("on")),
     )
     chats = chats.withColumn("_s", sizes)
-    spans = F.aggregate(
-        "_s",
-        F.struct(F.lit(0).alias("at"), F.lit(0).alias("k"), F.array().cast("array<struct<turn:int,start:int,length:int>>").alias("out")),
-        lambda acc, s: F.struct(
-            (acc["at"] + s["head"] + s["body"]).alias("at"),
-            (acc["k"] + 1).alias("k"),
-            F.when(
-                s["on"],
-                F.concat(
-                    acc["out"],
-                    F.array(F.struct(acc["k"].alias("turn"), (acc["at"] + s["head"] - len(END) - 1).alias("start"), s["body"].alias("length"))),
-                ),
-            )
-            .otherwise(acc["out"])
-            .alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
+
+    def located(starts: Column) -> Column:
+        each = F.transform(
+            "_s",
+            lambda s, i: F.when(s["on"], F.struct(i.alias("turn"), (F.element_at(starts, i + 1) + s["head"] - len(END) - 1).alias("start"), s["body"].alias("length"))),
+        )
+        return F.filter(each, lambda x: x.isNotNull())
+
+    spans = let(sums_before(F.transform("_s", lambda s: s["head"] + s["body"])), located)
     return chats.withColumn("loss_spans", spans).select(id_col, "formatted", "turns", "loss_spans", "round_trip")
 
 
+#: Elements that are summed up one by one; blocks of them are summed up as a whole first.
+SUM_BLOCK = 512
+
+
+def sums_before(values: Column) -> Column:
+    """For each of an array of ints, the sum of those before it. In two levels, as growing one array by one
+    element at a time would cost the square of its length."""
+    add = lambda a, x: a + x
+    starts = F.sequence(F.lit(0), F.greatest(F.size(values) - 1, F.lit(0)), F.lit(SUM_BLOCK))
+
+    def inside(block: Column, before: Column) -> Column:
+        zero = F.struct(before.alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(block, zero, lambda acc, x: F.struct((acc["at"] + x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"])
+
+    def over(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), add))
+        return let(totals, lambda t: F.flatten(F.transform(blocks, lambda b, i: inside(b, F.aggregate(F.slice(t, F.lit(1), i), F.lit(0), add)))))
+
+    return let(values, lambda v: let(F.transform(starts, lambda k: F.slice(v, k + 1, F.lit(SUM_BLOCK))), over))
+
+
 def _escape_role_if(role: Column) -> Column:
     return F.when(role.rlike(r"\n|<\\*[|n]"), _escape_role(role)).otherwise(role)
 
@@ -131,18 +143,14 @@ def read_back(chats: DataFrame, id_col: str = "conv_id") -> DataFrame:
     text = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     # the spans are cut turn by turn: a cut at a character offset costs the way to it
     framed = F.split("formatted", r"(?<=<\|im_end\|>\n)", -1)
-    base = F.aggregate(
-        framed,
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
-        lambda acc, b: F.struct((acc["at"] + F.length(b)).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")),
-        lambda acc: acc["out"],
-    )
-    out = chats.withColumn("_b", framed).withColumn("_at", base)
-    masked = F.transform(
-        "loss_spans",
-        lambda s: unescape(F.substr(F.element_at("_b", s["turn"] + 1), s["start"] - F.element_at("_at", s["turn"] + 1) + 1, s["length"])),
-    )
-    out = out.withColumn("_m", F.array_join(masked, ""))
+
+    def under_mask(frames: Column) -> Column:
+        def cut(at: Column) -> Column:
+            return F.transform("loss_spans", lambda s: unescape(F.substr(F.element_at(frames, s["turn"] + 1), s["start"] - F.element_at(at, s["turn"] + 1) + 1, s["length"])))
+
+        return let(sums_before(F.transform(frames, F.length)), cut)
+
+    out = chats.withColumn("_m", F.array_join(let(framed, under_mask), ""))
     return out.select(
         id_col,
         F.size("turns").cast("long").alias("n_turns"),
