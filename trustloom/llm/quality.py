@@ -130,7 +130,7 @@ def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
     df = df.withColumn("_g", windows).drop("_h")
     # positions of windows whose hash stands at least twice, ascending
-    pairs = F.array_sort(F.transform("_g", lambda g, i: F.struct(g.alias("g"), i.alias("i"))))
+    pairs = F.sort_array(F.transform("_g", lambda g, i: F.struct(g.alias("g"), i.alias("i"))))
     df = df.withColumn("_p", F.when(F.size(F.array_distinct("_g")) < F.size("_g"), pairs)).drop("_g")
     n = F.size("_p")
     gs = F.transform("_p", lambda p: p["g"])
@@ -138,7 +138,7 @@ def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "_p",
         F.when(
             F.col("_p").isNotNull(),
-            F.array_sort(
+            F.sort_array(
                 F.transform(
                     F.filter(
                         F.zip_with(
