@@ -35,7 +35,7 @@ def link_share(text: Column) -> Column:
 
 
 def paragraph_sizes(text: Column, delimiter: str = "\n\n") -> Column:
-    return F.transform(F.filter(F.split(text, delimiter), lambda p: strip(p) != ""), lambda p: F.size(words(p)))
+    return F.filter(F.transform(F.split(text, delimiter), lambda p: F.size(words(p))), lambda n: n > 0)
 
 
 def templated(sizes: Column, s: Settings = DEFAULT) -> Column:
