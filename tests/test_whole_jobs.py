@@ -1,9 +1,12 @@
 """Queries over all of their rows and all of each row, against plain Python."""
 
+import hashlib
 import re
 
+import duckdb
+
 import trustloom.plans.queries  # noqa: F401  registers its queries
-from trustloom.plans.registry import QUERIES
+from trustloom.plans.registry import ORACLE, QUERIES
 
 ODD = [
     "Été À LA plage: NASA et l'ÉCOLE, ÉTUDES. le la LE LA le la",
@@ -71,3 +74,23 @@ def test_relevance_of_documents_of_all_languages(spark, tmp_path):
             n = stem + len(re.findall(r"\b(?:thents|thent)\b", low)) + low.count("of the")
             assert got[i] == (n, stem > 0 and n >= 2 and n / len(x.split()) >= 0.003)
     assert got[3] == (7, True)
+
+
+def by_sql(sf, name, table):
+    with duckdb.connect() as con:
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{sf}/{table}.parquet/*.parquet')")
+        return dict(con.execute(ORACLE[name]).fetchall())
+
+
+def test_article_texts_keep_references_without_semicolon(spark, tmp_path):
+    bodies = {
+        "<h1>a&amp;&amp;b&amp</h1><p>c&am</p>": "a&&b&amp\n\nc&am",
+        "<p>x&quot y&amp;lt; &copy2 &copy;</p>": "x&quot y&lt; &copy2 ©",
+        "<p>&ampere; &notit; & && &; &amp=1 &lt;b&gt</p>": "&ampere; &notit; & && &; &amp=1 <b&gt",
+        "<p>&amp;amp</p><p>&amp;amp;</p>&amp": "&amp\n\n&amp;\n\n&amp",
+    }
+    rows = [(i, f"<html><title>t&amp</title><body><article>{x}</article></body></html>") for i, x in enumerate(bodies)]
+    spark.createDataFrame(rows, "page_id bigint, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r["page_id"]: r["body_md5"] for r in QUERIES["html_articles"](spark, str(tmp_path)).collect()}
+    assert got == {i: hashlib.md5(x.encode()).hexdigest() for i, x in enumerate(bodies.values())}
+    assert got == by_sql(tmp_path, "html_articles", "pages")
