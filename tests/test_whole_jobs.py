@@ -94,3 +94,15 @@ def test_article_texts_keep_references_without_semicolon(spark, tmp_path):
     got = {r["page_id"]: r["body_md5"] for r in QUERIES["html_articles"](spark, str(tmp_path)).collect()}
     assert got == {i: hashlib.md5(x.encode()).hexdigest() for i, x in enumerate(bodies.values())}
     assert got == by_sql(tmp_path, "html_articles", "pages")
+
+
+def test_tags_of_equal_scores_keep_taxonomy_order(spark, tmp_path):
+    def text(n, **words):
+        return "title\n" + " ".join([w for w, k in words.items() for _ in range(k)] + ["x"] * (n - sum(words.values())))
+
+    # the scores of "and" (0.9) and "in" (1.2), or of "the" (1.0), are equal fractions; the last bits of their doubles differ
+    texts = [text(187, **{"and": 4, "in": 3}), text(478, **{"and": 32, "in": 24}), text(153, the=6, **{"in": 5}), text(110, the=9, **{"and": 10}), text(187, **{"and": 3, "in": 4})]
+    sf = documents(spark, tmp_path, texts)
+    got = {r["doc_id"]: r["tags"] for r in QUERIES["positional_tags"](spark, sf).collect()}
+    assert got == {0: "links,places", 1: "links,places", 2: "articles,places", 3: "articles,links", 4: "places,links"}
+    assert got == by_sql(sf, "positional_tags", "documents")

@@ -16,6 +16,8 @@ from trustloom.functions.lexicons import TAXONOMY
 from trustloom.functions.stats import let
 from trustloom.functions.text import words, zones
 
+#: Scores are compared in whole billionths: equal fractions may differ in the last bit of their doubles.
+_UNITS = 1e9
 
 
 def taxonomy_table(spark, taxonomy=TAXONOMY) -> DataFrame:
@@ -44,7 +46,7 @@ def _zone_score(keys: tuple[str, ...]):
 
 
 def with_tags(df: DataFrame, text_col: str = "text", out_col: str = "topic_tags", taxonomy=TAXONOMY, s: Settings = DEFAULT) -> DataFrame:
-    """Adds up to ``max_tags`` labels, best first, equals in taxonomy order; ["general"] for none.
+    """Adds up to ``max_tags`` labels, best first, equals to nine decimals in taxonomy order; ["general"] for none.
 
     Zones are cut and counted once a row. A keyword is looked for as a fixed string first, and only a
     zone that has it is searched for whole words.
@@ -53,7 +55,8 @@ def with_tags(df: DataFrame, text_col: str = "text", out_col: str = "topic_tags"
     scored = []
     for i, (label, keys, boost) in enumerate(taxonomy):
         raw = F.aggregate("_z", F.lit(0.0), _zone_score(keys))
-        scored.append(F.struct((-raw * F.lit(float(boost))).alias("neg"), F.lit(i).alias("ord"), F.lit(label).alias("label")))
+        score = F.round(raw * F.lit(float(boost)) * F.lit(_UNITS))
+        scored.append(F.struct((-score).alias("neg"), F.lit(i).alias("ord"), F.lit(label).alias("label")))
     df = once(df, _t=F.slice(F.sort_array(F.filter(F.array(*scored), lambda x: x["neg"] < 0)), 1, s.max_tags))
     best = F.transform("_t", lambda x: x["label"])
     return df.withColumn(out_col, F.when(F.size("_t") == 0, F.array(F.lit("general"))).otherwise(best)).drop("_z", "_t")
